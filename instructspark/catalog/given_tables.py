@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instructspark.functions.classification import task_type
+from instructspark.functions.text import sql_literal
 
 # A row id is conv_id * TURN_SPACE + turn: unique for any conversation length.
 TURN_SPACE = 1_000_000_000
@@ -45,8 +46,9 @@ def spread_narrow(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + F.lit(1))
+def _case(index: str, values: list[str]) -> str:
+    whens = " ".join(f"when {i} then {sql_literal(v)}" for i, v in enumerate(values))
+    return f"case {index} {whens} end"
 
 
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,36 +59,29 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     share one partitioning.
     """
     turns = read_table(spark, sf_dir, "conversations")
-    turn = F.col("turn")
 
     def of_role(role: str, shift: int, name: str) -> DataFrame:
         mine = turns.where(F.col("role") == F.lit(role))
-        return mine.select("conv_id", (turn + F.lit(shift)).alias("turn"), F.col("text").alias(name))
+        return mine.selectExpr("conv_id", f"turn + {shift} as turn", f"text as {name}")
 
     key = ["conv_id", "turn"]
     joined = (
-        of_role("user", 0, "user")
+        of_role("user", 0, "said")
         .join(of_role("assistant", -1, "output"), key)
         .join(of_role("system", 1, "system"), key, "left")
+        .selectExpr("*", "coalesce(system, '') as input")
     )
-    number = F.col("conv_id") + turn
-    same = number % 5 == 0
-    prefix = _pick((F.col("conv_id") * 7 + turn) % 8, TASK_PREFIXES)
-    context = F.coalesce(F.col("system"), F.lit(""))
-    return joined.select(
-        (F.col("conv_id") * F.lit(TURN_SPACE) + turn).alias("row_id"),
+    same = "(conv_id + turn) % 5 = 0"
+    return joined.selectExpr(
+        f"conv_id * {TURN_SPACE} + turn as row_id",
         "conv_id",
         "turn",
-        F.when(number % 7 == 0, F.substring("user", 1, 4)).otherwise(F.col("user")).alias("instruction"),
-        context.alias("input"),
+        "if((conv_id + turn) % 7 = 0, substring(said, 1, 4), said) as instruction",
+        "input",
         "output",
-        F.concat(prefix, "user").alias("instruction_en"),
-        F.when(same | (context == ""), context)
-        .otherwise(F.concat(context, F.lit(" (en)")))
-        .alias("input_en"),
-        F.when(same, F.col("output"))
-        .otherwise(F.concat("output", F.lit(" (en)")))
-        .alias("output_en"),
+        f"concat({_case('(conv_id * 7 + turn) % 8', TASK_PREFIXES)}, said) as instruction_en",
+        f"if({same} or input = '', input, concat(input, ' (en)')) as input_en",
+        f"if({same}, output, concat(output, ' (en)')) as output_en",
     )
 
 
@@ -95,18 +90,17 @@ def instruction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions(spark, sf_dir).drop("conv_id", "turn")
 
 
-def _response(kind: Column, text: Column, other: Column) -> Column:
-    """A response of each kind that validation tells apart."""
-    return (
-        F.when(kind == 0, F.lit(None).cast("string"))
-        .when(kind == 1, F.lit(SHORT_RESPONSE))
-        .when(kind == 2, F.concat(F.lit(MARKER_HEAD), F.regexp_replace(text, "\n", " ")))
-        .when(kind == 3, F.lit(MARKER_ONLY))
-        .when(kind == 4, other)
-        .when(kind == 5, F.repeat(F.concat(text, F.lit(" ")), 5))
-        .when(kind == 6, F.concat(F.lit("\t "), text, F.lit("\xa0 ")))
-        .otherwise(F.regexp_replace(text, "the ", "en "))
-    )
+def _response(kind: str, text: str, other: str) -> str:
+    """SQL text for a response of each kind that validation tells apart."""
+    return f"""case {kind}
+        when 0 then cast(null as string)
+        when 1 then {sql_literal(SHORT_RESPONSE)}
+        when 2 then concat({sql_literal(MARKER_HEAD)}, replace({text}, '\\n', ' '))
+        when 3 then {sql_literal(MARKER_ONLY)}
+        when 4 then {other}
+        when 5 then repeat(concat({text}, ' '), 5)
+        when 6 then concat('\\t ', {text}, '\\u00a0 ')
+        else replace({text}, 'the ', 'en ') end"""
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,47 +108,42 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A fifth of the rows has none yet, a third of the others a second attempt.
     """
-    rows = instructions(spark, sf_dir)
-    number = F.col("conv_id") + F.col("turn")
     entries = []
     for index, (text, other) in enumerate(
         [("instruction", "output"), ("input", "instruction"), ("output", "instruction")]
     ):
-        kind = (number + F.lit(index)) % 8
-        first = _response(kind, F.col(text), F.col(other))
-        second = F.when(number % 3 == 0, F.concat(F.col(text), F.lit(" igjen.")))
+        first = _response(f"(conv_id + turn + {index}) % 8", text, other)
+        second = f"concat({text}, ' igjen.')"
         for attempt, response in ((1, first), (2, second)):
-            entries.append(
-                F.struct(
-                    F.lit(text).alias("field"),
-                    response.alias("response"),
-                    F.lit(attempt).alias("attempt"),
-                )
-            )
-    answered = rows.where((F.col("conv_id") * 3 + F.col("turn")) % 5 != 0)
-    long = answered.select("row_id", number.alias("_number"), F.inline(F.array(*entries)))
-    return long.where((F.col("attempt") == 1) | (F.col("_number") % 3 == 0)).drop("_number")
+            entries.append(f"struct('{text}' as field, {response} as response, {attempt} as attempt)")
+    once = f"array({', '.join(entries[0::2])})"
+    twice = f"array({', '.join(entries)})"
+    return (
+        instructions(spark, sf_dir)
+        .where("(conv_id * 3 + turn) % 5 <> 0")
+        .selectExpr("row_id", f"inline(if((conv_id + turn) % 3 = 0, {twice}, {once}))")
+    )
 
 
 def answer_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored raw answers; every eleventh row has none."""
-    number = F.col("conv_id") * 5 + F.col("turn")
-    answer = F.concat(F.lit(" "), F.regexp_replace(F.col("output"), "and ", "og "))
     return (
         instructions(spark, sf_dir)
-        .where(number % 11 != 0)
-        .select(
-            "row_id", F.lit("output").alias("field"), answer.alias("response"), F.lit(1).alias("attempt")
+        .where("(conv_id * 5 + turn) % 11 <> 0")
+        .selectExpr(
+            "row_id",
+            "'output' as field",
+            "concat(' ', replace(output, 'and ', 'og ')) as response",
+            "1 as attempt",
         )
     )
 
 
 def polish_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rewrites of the raw answers, of every kind."""
-    number = F.col("conv_id") * 3 + F.col("turn")
-    response = _response(number % 8, F.col("output"), F.col("instruction"))
-    return instructions(spark, sf_dir).select(
-        "row_id", F.lit("output").alias("field"), response.alias("response"), F.lit(1).alias("attempt")
+    response = _response("(conv_id * 3 + turn) % 8", "output", "instruction")
+    return instructions(spark, sf_dir).selectExpr(
+        "row_id", "'output' as field", f"{response} as response", "1 as attempt"
     )
 
 

@@ -28,7 +28,7 @@ from instructspark.operators.fields import (
     preview,
     swap_reference,
 )
-from instructspark.operators.generation import accept
+from instructspark.operators.generation import accepted_text
 from instructspark.operators.generation import skip_split_counts as count_skips
 from instructspark.operators.validate import reason_counts, with_validated
 from instructspark.plans.distil import answers_from_responses, polish_from_responses
@@ -188,7 +188,8 @@ def attach_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def improve_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The long form: responses joined per field, then skip and validation."""
-    return accept(_answered_pairs(spark, sf_dir)).select("row_id", "field", "result")
+    result = accepted_text(F.col("text"), F.col("ref_text"), F.col("response")).alias("result")
+    return _answered_pairs(spark, sf_dir).select("row_id", "field", result)
 
 
 def improved_gathered(spark: SparkSession, sf_dir: str) -> DataFrame:

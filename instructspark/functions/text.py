@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,30 +28,48 @@ def is_blank(text: Column) -> Column:
     return strip(or_empty(text)) == F.lit("")
 
 
-def words(text: Column) -> Column:
-    """Lower-cased words in order; an empty array when there are none."""
-    bare = strip(F.lower(text))
-    return F.when(bare == F.lit(""), F.array().cast("array<string>")).otherwise(
-        F.split(bare, WHITESPACE_RUN)
-    )
+def sql_literal(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluates ``value`` once and hands it to ``body``.
+def bind(body: str, **values: Column) -> Column:
+    """Evaluates SQL text over named values, each of them computed once.
 
-    Spark does not share a subexpression between the branches of a conditional;
-    a one-element ``transform`` does, without leaving the expression.
+    The text reads the values as ``v.name``.  Spark does not share a
+    subexpression between the branches of a conditional; a one-element
+    ``transform`` does, and stays a native expression.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return F.get(F.call_function("transform", F.array(row), F.expr(f"v -> {body}")), F.lit(0))
+
+
+def words_sql(text: str) -> str:
+    """SQL text for the lower-cased words of ``text``; an empty array when none."""
+    bare = f"btrim(lower({text}), {sql_literal(WHITESPACE)})"
+    return (
+        f"if({bare} = '', cast(array() as array<string>),"
+        f" split({bare}, {sql_literal(WHITESPACE_RUN)}))"
+    )
+
+
+def word_overlap_sql(response: str, original: str) -> str:
+    """SQL text for the share of ``original``'s distinct words found in ``response``."""
+    return (
+        f"get(transform(array({words_sql(original)}), known ->"
+        f" size(array_intersect(known, {words_sql(response)}))"
+        f" / greatest(size(array_distinct(known)), 1)), 0)"
+    )
+
+
+def words(text: Column) -> Column:
+    """Lower-cased words in order; an empty array when there are none."""
+    return bind(words_sql("v.text"), text=text)
 
 
 def word_overlap(response: Column, original: Column) -> Column:
     """Share of the original's distinct words that the response also has."""
-    return bind(
-        words(original),
-        lambda known: F.size(F.array_intersect(known, words(response)))
-        / F.greatest(F.size(F.array_distinct(known)), F.lit(1)),
-    )
+    return bind(word_overlap_sql("v.response", "v.original"), response=response, original=original)
 
 
 def any_contains(text: Column, needles: list[str]) -> Column:

@@ -18,13 +18,13 @@ the overlap and length tests), every other reason keeps the unstripped original.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from instructspark import fixed_values as fixed
-from instructspark.functions.text import any_contains, or_empty, strip, word_overlap
+from instructspark.functions.text import bind, or_empty, sql_literal, strip, word_overlap_sql
 
 REASONS = ["missing", "short", "marker_line", "marker_only", "overlap", "runaway", "ok"]
 
@@ -40,81 +40,89 @@ class ValidationRules:
     max_growth: int = fixed.MAX_GROWTH
     growth_slack: int = fixed.GROWTH_SLACK
 
+    def marker_pattern(self) -> str:
+        """A regex that matches any marker; one that never matches if there are none."""
+        return "|".join(re.escape(marker) for marker in self.markers) or "(?!)"
+
 
 DEFAULT_RULES = ValidationRules()
 
 
+def _opens_sql(bare: str, rules: ValidationRules) -> str:
+    # Only the head can match, so only the head is lower-cased.
+    longest = max((len(marker) for marker in rules.markers), default=0)
+    pattern = sql_literal(f"^(?:{rules.marker_pattern()})")
+    return f"lower(substring({bare}, 1, {longest})) rlike {pattern}"
+
+
+def _line_sql(bare: str, rules: ValidationRules) -> str:
+    stripped = f"transform(split({bare}, '\\n'), line -> btrim(line, {sql_literal(fixed.WHITESPACE)}))"
+    good = (
+        f"length(line) > {rules.min_line_chars}"
+        f" and not lower(line) rlike {sql_literal(rules.marker_pattern())}"
+    )
+    return f"get(filter({stripped}, line -> {good}), 0)"
+
+
 def has_marker_prefix(response: Column, rules: ValidationRules = DEFAULT_RULES) -> Column:
     """True when the stripped response opens with a marker, in any case."""
-    longest = max((len(m) for m in rules.markers), default=0)
-    # Only the head can match, so only the head is lower-cased.
-    head = F.lower(F.substring(strip(response), 1, longest))
-    opens = F.lit(False)
-    for marker in rules.markers:
-        opens = opens | F.startswith(head, F.lit(marker))
-    return opens
+    return bind(_opens_sql("v.bare", rules), bare=strip(response))
 
 
 def usable_line(response: Column, rules: ValidationRules = DEFAULT_RULES) -> Column:
     """First stripped line that is long enough and holds no marker, else NULL."""
-    lines = F.transform(F.split(strip(response), "\n"), strip)
-    good = F.filter(
-        lines,
-        lambda line: (F.length(line) > F.lit(rules.min_line_chars))
-        & ~any_contains(F.lower(line), rules.markers),
-    )
-    return F.get(good, F.lit(0))
+    return bind(_line_sql("v.bare", rules), bare=strip(response))
 
 
-def validation_reason(
+def checked_response(
     response: Column, original: Column, rules: ValidationRules = DEFAULT_RULES
 ) -> Column:
-    """The reason code of one response; cheap tests come before the word sets."""
-    source = or_empty(original)
-    bare = strip(response)
-    limit = F.length(source) * F.lit(rules.max_growth) + F.lit(rules.growth_slack)
-    return (
-        F.when(response.isNull(), F.lit("missing"))
-        .when(F.length(bare) < F.lit(rules.min_chars), F.lit("short"))
-        .when(
-            has_marker_prefix(response, rules),
-            F.when(usable_line(response, rules).isNotNull(), F.lit("marker_line")).otherwise(
-                F.lit("marker_only")
-            ),
-        )
-        .when(word_overlap(bare, source) < F.lit(rules.min_overlap), F.lit("overlap"))
-        .when(F.length(bare) > limit, F.lit("runaway"))
-        .otherwise(F.lit("ok"))
+    """A struct of the ``reason`` code and the ``text`` it keeps.
+
+    One conditional with the cheap tests before the word sets: a response that
+    is missing, short or marked never pays for them.
+    """
+
+    def outcome(reason: str, text: str) -> str:
+        return f"named_struct('reason', '{reason}', 'text', {text})"
+
+    longest = f"{rules.max_growth} * length(v.original) + {rules.growth_slack}"
+    line = f"named_struct('line', {_line_sql('v.bare', rules)})"
+    marked = (
+        f"get(transform(array({line}), m -> if(m.line is null,"
+        f" {outcome('marker_only', 'v.original')}, {outcome('marker_line', 'm.line')})), 0)"
     )
+    body = f"""case
+        when v.bare is null then {outcome("missing", "v.original")}
+        when length(v.bare) < {rules.min_chars} then {outcome("short", "v.original")}
+        when {_opens_sql("v.bare", rules)} then {marked}
+        when {word_overlap_sql("v.bare", "v.original")} < {rules.min_overlap}D
+            then {outcome("overlap", "v.original")}
+        when length(v.bare) > {longest} then {outcome("runaway", "v.original")}
+        else {outcome("ok", "v.bare")} end"""
+    return bind(body, bare=strip(response), original=or_empty(original))
 
 
-def text_for_reason(
-    reason: Column, response: Column, original: Column, rules: ValidationRules = DEFAULT_RULES
+def validation_reason(
+    response: Column, original: Column, rules: ValidationRules = DEFAULT_RULES
 ) -> Column:
-    """The text that a reason code keeps."""
-    return (
-        F.when(reason == F.lit("ok"), strip(response))
-        .when(reason == F.lit("marker_line"), usable_line(response, rules))
-        .otherwise(or_empty(original))
-    )
+    """The reason code of a response."""
+    return checked_response(response, original, rules).getField("reason")
 
 
 def validate_response(
     response: Column, original: Column, rules: ValidationRules = DEFAULT_RULES
 ) -> Column:
-    """The accepted response or the original, as one expression.
+    """The text a response leaves: the accepted response or the original.
 
     When only the text matters, all failed tests lead to the same value, so the
-    length test goes first and saves the word sets of runaway responses.
-    For the text together with its reason use ``operators.validate.with_validated``.
+    length test goes before the word sets and spares them runaway responses.
     """
-    source = or_empty(original)
-    bare = strip(response)
-    limit = F.length(source) * F.lit(rules.max_growth) + F.lit(rules.growth_slack)
-    return (
-        F.when(response.isNull() | (F.length(bare) < F.lit(rules.min_chars)), source)
-        .when(has_marker_prefix(response, rules), F.coalesce(usable_line(response, rules), source))
-        .when(F.length(bare) > limit, source)
-        .when(word_overlap(bare, source) < F.lit(rules.min_overlap), source)
-        .otherwise(bare)
-    )
+    longest = f"{rules.max_growth} * length(v.original) + {rules.growth_slack}"
+    body = f"""case
+        when v.bare is null or length(v.bare) < {rules.min_chars} then v.original
+        when {_opens_sql("v.bare", rules)} then coalesce({_line_sql("v.bare", rules)}, v.original)
+        when length(v.bare) > {longest} then v.original
+        when {word_overlap_sql("v.bare", "v.original")} < {rules.min_overlap}D then v.original
+        else v.bare end"""
+    return bind(body, bare=strip(response), original=or_empty(original))

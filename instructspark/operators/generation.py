@@ -13,15 +13,15 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from instructspark.fixed_values import REWRITE_BATCH_SIZE
 from instructspark.functions.predicates import should_skip
 from instructspark.functions.prompts import REWRITE_TEMPLATE, rewrite_prompt
-from instructspark.functions.validation import DEFAULT_RULES, ValidationRules
-from instructspark.operators.validate import with_validated
+from instructspark.functions.text import or_empty
+from instructspark.functions.validation import DEFAULT_RULES, ValidationRules, validate_response
 
 GeneratorFn = Callable[[Sequence[Any]], Sequence[str]]
 GeneratorFactory = Callable[[], GeneratorFn]
@@ -86,20 +86,13 @@ def with_rewrite_prompt(
     )
 
 
-def accept(
-    df: DataFrame,
-    text: str = "text",
-    reference: str = "ref_text",
-    response: str = "response",
-    output: str = "result",
-    rules: ValidationRules = DEFAULT_RULES,
-) -> DataFrame:
-    """Adds the final text: the original where skipped, else the validated response."""
-    kept = F.when(~should_skip(F.col(text), F.col(reference)), F.col(response))
-    checked = with_validated(
-        df.withColumn("_kept", kept), "_kept", text, output, "_reason", rules
+def accepted_text(
+    text: Column, reference: Column, response: Column, rules: ValidationRules = DEFAULT_RULES
+) -> Column:
+    """The final text: the original where skipped, else the validated response."""
+    return F.when(should_skip(text, reference), or_empty(text)).otherwise(
+        validate_response(response, text, rules)
     )
-    return checked.drop("_kept", "_reason")
 
 
 def rewrite(
@@ -119,8 +112,8 @@ def rewrite(
     """
     asked = with_rewrite_prompt(df, text, reference, "_prompt", template)
     answered = generate(asked, "_prompt", "_response", factory, batch_size)
-    done = accept(answered, text, reference, "_response", output, rules)
-    return done.drop("_prompt", "_response")
+    final = accepted_text(F.col(text), F.col(reference), F.col("_response"), rules)
+    return answered.withColumn(output, final).drop("_prompt", "_response")
 
 
 def skip_split_counts(df: DataFrame, text: str = "text", reference: str = "ref_text") -> DataFrame:

@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.functions.validation import (
-    DEFAULT_RULES,
-    ValidationRules,
-    text_for_reason,
-    validation_reason,
-)
+from instructspark.functions.validation import DEFAULT_RULES, ValidationRules, checked_response
 
 
 def with_validated(
@@ -21,14 +16,11 @@ def with_validated(
     reason: str = "reason",
     rules: ValidationRules = DEFAULT_RULES,
 ) -> DataFrame:
-    """Adds the reason code and the text it keeps.
-
-    The reason is a column of its own step, so each response is checked once.
-    """
-    coded = df.withColumn(reason, validation_reason(F.col(response), F.col(original), rules))
-    return coded.withColumn(
-        output, text_for_reason(F.col(reason), F.col(response), F.col(original), rules)
-    )
+    """Adds the reason code and the text it keeps; each response is checked once."""
+    checked = df.withColumn("_checked", checked_response(F.col(response), F.col(original), rules))
+    return checked.withColumns(
+        {reason: F.col("_checked.reason"), output: F.col("_checked.text")}
+    ).drop("_checked")
 
 
 def reason_counts(df: DataFrame, reason: str = "reason") -> DataFrame:

@@ -8,17 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from instructspark.fixed_values import COLUMN_PAIRS, REWRITE_BATCH_SIZE
-from instructspark.functions.predicates import should_skip
 from instructspark.functions.prompts import REWRITE_TEMPLATE
 from instructspark.functions.text import or_empty
-from instructspark.functions.validation import (
-    DEFAULT_RULES,
-    ValidationRules,
-    text_for_reason,
-    validation_reason,
-)
+from instructspark.functions.validation import DEFAULT_RULES, ValidationRules
 from instructspark.operators.fields import field_pairs
-from instructspark.operators.generation import GeneratorFactory, with_rewrite_prompt
+from instructspark.operators.generation import GeneratorFactory, accepted_text, with_rewrite_prompt
 from instructspark.plans.resumable import generate_pending
 from instructspark.sources.store import ResponseStore, responses_wide
 
@@ -40,24 +34,11 @@ def improved_from_responses(
     """
     fields = [text for text, _ in pairs]
     joined = df.join(responses_wide(responses, fields), "row_id", "left")
-    kept = {
-        f"{text}_kept": F.when(
-            ~should_skip(F.col(text), F.col(ref)), F.col(f"{text}_response")
-        )
+    results = [
+        accepted_text(F.col(text), F.col(ref), F.col(f"{text}_response"), rules).alias(text + suffix)
         for text, ref in pairs
-    }
-    reasons = {
-        f"{text}_reason": validation_reason(F.col(f"{text}_kept"), F.col(text), rules)
-        for text in fields
-    }
-    results = {
-        text + suffix: text_for_reason(
-            F.col(f"{text}_reason"), F.col(f"{text}_kept"), F.col(text), rules
-        )
-        for text in fields
-    }
-    staged = joined.withColumns(kept).withColumns(reasons)
-    return staged.select(*df.columns, *[c.alias(name) for name, c in results.items()])
+    ]
+    return joined.select(*df.columns, *results)
 
 
 def improve(
@@ -88,11 +69,8 @@ def improved_field(
 ) -> DataFrame:
     """Adds one validated rewrite, read from the responses of one field."""
     wide = responses_wide(responses, [field]).withColumnRenamed(f"{field}_response", "_response")
-    kept = F.when(~should_skip(F.col(text), F.col(reference)), F.col("_response"))
-    joined = df.join(wide, "row_id", "left").withColumn("_kept", kept)
-    coded = joined.withColumn("_reason", validation_reason(F.col("_kept"), F.col(text), rules))
-    result = text_for_reason(F.col("_reason"), F.col("_kept"), F.col(text), rules)
-    return coded.select(*df.columns, result.alias(output))
+    result = accepted_text(F.col(text), F.col(reference), F.col("_response"), rules)
+    return df.join(wide, "row_id", "left").select(*df.columns, result.alias(output))
 
 
 def rewrite_work(df: DataFrame, text: str, reference: str, field: str = "output") -> DataFrame:
