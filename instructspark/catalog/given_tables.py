@@ -36,14 +36,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Deals a bare file scan over the cores when it has fewer splits than cores.
+def is_narrow(scan: DataFrame) -> bool:
+    """True for a bare file scan with fewer splits than there are cores."""
+    return scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
 
-    A large table has plenty of splits and is left alone; a table this small is
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deals rows over the cores by a unique key."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, dealt over the cores when the scan is narrow.
+
+    A large table has plenty of splits and is left alone; one this small is
     cheap to shuffle next to the text work that follows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(docs, "doc_id") if is_narrow(docs) else docs
 
 
 def _case(index: str, values: list[str]) -> str:
@@ -148,44 +158,39 @@ def polish_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per prompt: its first answer, task type and a reference vector.
+    """One row per prompt: its first answer and task type.
 
     The first row is a minimum, so a long conversation combines before the
     shuffle.
     """
     first = F.min(F.struct("turn", "output", "instruction_en")).alias("first")
     prompts = instructions(spark, sf_dir).groupBy(F.col("conv_id").alias("prompt_id")).agg(first)
-    vectors, n = _vectors(spark, sf_dir, "reference_embedding")
-    return (
-        prompts.select(
-            "prompt_id",
-            F.col("first.output").alias("output_improved"),
-            task_type(F.col("first.instruction_en")).alias("task_type"),
-            (F.col("prompt_id") * 3 % n).alias("vec_id"),
-        )
-        .join(vectors, "vec_id", "left")
-        .drop("vec_id")
+    return prompts.select(
+        "prompt_id",
+        F.col("first.output").alias("output_improved"),
+        task_type(F.col("first.instruction_en")).alias("task_type"),
     )
 
 
 def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assistant turns as completions of their conversation's prompt."""
-    vectors, n = _vectors(spark, sf_dir, "completion_embedding")
-    turns = read_table(spark, sf_dir, "conversations").where(F.col("role") == F.lit("assistant"))
     return (
-        turns.select(
-            F.col("conv_id").alias("prompt_id"),
-            (F.col("conv_id") * F.lit(TURN_SPACE) + F.col("turn")).alias("completion_id"),
-            F.col("text").alias("completion"),
-            ((F.col("conv_id") * 3 + F.col("turn") - F.lit(1)) % n).alias("vec_id"),
+        read_table(spark, sf_dir, "conversations")
+        .where(F.col("role") == F.lit("assistant"))
+        .selectExpr(
+            "conv_id as prompt_id",
+            f"conv_id * {TURN_SPACE} + turn as completion_id",
+            "text as completion",
         )
-        .join(vectors, "vec_id", "left")
-        .drop("vec_id")
     )
 
 
-def _vectors(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, Column]:
-    """The vectors under another name, and their number as a scalar subquery."""
-    table = read_table(spark, sf_dir, "embeddings")
+def with_vectors(df: DataFrame, number: Column, name: str, sf_dir: str) -> DataFrame:
+    """Adds a given vector by row number, wrapping around at the end of the table.
+
+    Numbers that differ by row deal the rows evenly over the vectors.
+    """
+    table = read_table(df.sparkSession, sf_dir, "embeddings")
     n = table.agg(F.count("*").alias("n")).scalar()
-    return table.select("vec_id", F.col("embedding").alias(name)), n
+    vectors = table.select("vec_id", F.col("embedding").alias(name))
+    return df.withColumn("vec_id", number % n).join(vectors, "vec_id", "left").drop("vec_id")

@@ -158,6 +158,10 @@ TABLES = {
             {_content('instruction_improved', 'input_improved')} AS content,
             {_task_type('instruction_en')} AS task_type
         FROM improved""",
+    "labelled": f"""
+        SELECT row_id, {_content('instruction', 'input')} AS content,
+            {_task_type('instruction_en')} AS task_type
+        FROM inst""",
     "generated": """
         SELECT m.*, CASE WHEN (conv_id * 5 + turn) % 11 <> 0
             THEN ' ' || replace(i.output, 'and ', 'og ') END AS output_generated
@@ -245,6 +249,7 @@ READS = {
     "results": ["coded"],
     "improved": ["results"],
     "prepared": ["improved"],
+    "labelled": ["inst"],
     "generated": ["improved"],
     "polish_coded": ["generated"],
     "polished": ["polish_coded"],
@@ -365,17 +370,17 @@ ORACLES: dict[str, str] = {
     "task_type": _from("inst", f"SELECT row_id, {_task_type('instruction_en')} AS task_type FROM inst"),
     "prepared_table": _from("prepared", "SELECT * FROM prepared"),
     "task_distribution": _from(
-        "prepared", "SELECT task_type, count(*) AS n FROM prepared GROUP BY task_type"
+        "labelled", "SELECT task_type, count(*) AS n FROM labelled GROUP BY task_type"
     ),
     "task_distribution_pct": _from(
-        "prepared",
+        "labelled",
         """SELECT task_type, count(*) AS n,
-        count(*) * 100::DOUBLE / (SELECT count(*) FROM prepared) AS pct
-        FROM prepared GROUP BY task_type""",
+        count(*) * 100::DOUBLE / (SELECT count(*) FROM labelled) AS pct
+        FROM labelled GROUP BY task_type""",
     ),
     "sample_per_task": _from(
-        "prepared",
-        """SELECT task_type, row_id, substring(content, 1, 120) AS sample FROM prepared
+        "labelled",
+        """SELECT task_type, row_id, substring(content, 1, 120) AS sample FROM labelled
         QUALIFY row_number() OVER (PARTITION BY task_type ORDER BY row_id) = 1""",
     ),
     "validation_report": _from(

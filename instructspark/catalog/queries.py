@@ -76,9 +76,27 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(_improved(spark, sf_dir))
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared straight from the source columns, for the reports on labels."""
+    return prepare(given.instruction_table(spark, sf_dir), "instruction", "input")
+
+
+def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.pair_completions(
+        given.completions(spark, sf_dir), given.references(spark, sf_dir)
+    )
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paired = scoring.pair_completions(given.completions(spark, sf_dir), given.references(spark, sf_dir))
-    return scoring.score(paired).select(
+    """All four rewards; a completion of the first answer gets its reference's vector."""
+    references = given.with_vectors(
+        given.references(spark, sf_dir), F.col("prompt_id") * 3, "reference_embedding", sf_dir
+    )
+    paired = scoring.pair_completions(given.completions(spark, sf_dir), references)
+    turn = F.col("completion_id") - F.col("prompt_id") * given.TURN_SPACE
+    own = F.col("prompt_id") * 3 + turn - 1
+    scored = scoring.score(given.with_vectors(paired, own, "completion_embedding", sf_dir))
+    return scored.select(
         "prompt_id", "completion_id", "task_type", *[r.name for r in DEFAULT_REWARDS], "total"
     )
 
@@ -208,9 +226,7 @@ def validate_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies of whole documents against the documents, text only."""
-    docs = given.spread_narrow(
-        given.read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"
-    )
+    docs = given.documents(spark, sf_dir)
     result = validate_response(_near_copy(), F.col("text"))
     return docs.select("doc_id", F.length(result).alias("chars"), F.md5(result).alias("digest"))
 
@@ -254,15 +270,15 @@ def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def task_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.task_distribution(_prepared(spark, sf_dir))
+    return reports.task_distribution(_labelled(spark, sf_dir))
 
 
 def task_distribution_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.task_distribution_pct(_prepared(spark, sf_dir))
+    return reports.task_distribution_pct(_labelled(spark, sf_dir))
 
 
 def sample_per_task(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.sample_per_task(_prepared(spark, sf_dir))
+    return reports.sample_per_task(_labelled(spark, sf_dir))
 
 
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,17 +330,13 @@ def distilled_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def completion_reference_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paired = scoring.pair_completions(
-        given.completions(spark, sf_dir).select("prompt_id", "completion_id", "completion"),
-        given.references(spark, sf_dir).select("prompt_id", "output_improved", "task_type"),
+    return _paired(spark, sf_dir).select(
+        "prompt_id", "completion_id", "completion", "output_improved", "task_type"
     )
-    return paired.select("prompt_id", "completion_id", "completion", "output_improved", "task_type")
 
 
 def language_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = given.spread_narrow(
-        given.read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"
-    )
+    docs = given.documents(spark, sf_dir)
     text = F.col("text")
     return docs.select(
         "doc_id",
@@ -335,12 +347,12 @@ def language_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def length_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = length_reward(F.col("completion"), F.col("output_improved")).alias("length")
-    return completion_reference_join(spark, sf_dir).select("prompt_id", "completion_id", value)
+    return _paired(spark, sf_dir).select("prompt_id", "completion_id", value)
 
 
 def accuracy_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = accuracy_reward(F.col("completion"), F.col("output_improved"), F.col("task_type"))
-    return completion_reference_join(spark, sf_dir).select(
+    return _paired(spark, sf_dir).select(
         "prompt_id", "completion_id", value.alias("accuracy")
     )
 
@@ -390,13 +402,19 @@ def incremental_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, F.lit(given.SHORT_RESPONSE))
         .otherwise(_near_copy())
     )
+    docs = spark.read.parquet(source).select("doc_id", "text")
+    narrow = given.is_narrow(docs)
+
+    def pairs(new: DataFrame) -> DataFrame:
+        return (given.spread(new, "doc_id") if narrow else new).withColumn("response", response)
+
     return validate_new_files(
         spark,
         source,
-        spark.read.parquet(source).select("doc_id", "text").schema,
+        docs.schema,
         new_path(spark, "validated"),
         new_path(spark, "validated-progress"),
-        pairs=lambda docs: docs.withColumn("response", response),
+        pairs=pairs,
         finish=lambda checked: checked.select("doc_id", "reason", F.md5("result").alias("digest")),
     )
 

@@ -82,4 +82,5 @@ def any_contains(text: Column, needles: list[str]) -> Column:
 
 def clamp(value: Column, low: float, high: float) -> Column:
     """``value`` limited to [low, high]; NULL stays NULL (least/greatest skip it)."""
-    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+    limited = f"greatest({float(low)}D, least({float(high)}D, v.x))"
+    return bind(f"if(v.x is null, cast(null as double), {limited})", x=value)

@@ -6,19 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001
+HOT_ROWS = 10_000
 NULL_SALTS = 1024
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows, with their number of salts.
+def hot_keys(
+    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keys with at least ``share`` of all rows and ``min_rows``, with their number of salts.
 
     At most ``1 / share`` keys can qualify, whatever the data, so the result has
     a proven size.  Reads the key column only and counts before the shuffle.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    per_salt = F.greatest(total * F.lit(share), F.lit(1.0))
-    return counts.where((F.col("n") >= per_salt) & F.col(key).isNotNull()).select(
+    total = df.agg(F.count("*").alias("total")).scalar()
+    per_salt = F.greatest(total * F.lit(float(share)), F.lit(float(min_rows)))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") >= per_salt).select(
         key, F.ceil(F.col("n") / per_salt).cast("int").alias("_salts")
     )
 
@@ -30,7 +33,7 @@ def lookup_join(
     spread: str,
     how: str = "inner",
     share: float = HOT_SHARE,
-    broadcast_rows: int = 100_000,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Joins many rows per key to the one row of ``unique`` with that key.
 
@@ -44,9 +47,9 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    if 1 / share > broadcast_rows:
-        raise ValueError("share is too small for the hot keys to be broadcast")
-    hot = F.broadcast(hot_keys(df, key, share))
+    if not 1e-4 <= share <= 1:
+        raise ValueError("share must keep the hot keys, at most 1 / share rows, fit to broadcast")
+    hot = F.broadcast(hot_keys(df, key, share, min_rows))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     # A NULL key matches nothing; salting it only keeps those rows apart.
     dealt = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(salts)
