@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -5,6 +6,10 @@ import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
+# Python workers import the package and the generators of the tests.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")]
+)
 
 from instructspark.session import build_session  # noqa: E402
 
