@@ -296,6 +296,12 @@ _changed = " UNION ALL ".join(
     FROM improved"""
     for f in FIELDS
 )
+_report = f"""SELECT (SELECT count(*) FROM prepared) AS total_rows,
+    (SELECT count(*) FROM prepared WHERE {_blank('content')}) AS empty_prompts,
+    (SELECT string_agg(task_type || '=' || n, ',' ORDER BY task_type) FROM (
+        SELECT task_type, count(*) AS n FROM prepared GROUP BY task_type)) AS task_types,
+    '' AS missing,
+    NOT EXISTS (SELECT 1 FROM prepared WHERE {_blank('content')}) AS is_valid"""
 _near_copy = "'  ' || replace(text, 'e ', 'en ')"
 _document_result = f"""
     SELECT doc_id, text, {_near_copy} AS response, {_reason(_near_copy, 'text')} AS reason FROM documents"""
@@ -322,6 +328,13 @@ ORACLES: dict[str, str] = {
         )
         + " FROM improved ORDER BY row_id LIMIT 5",
     ),
+    "distill_preview": _from(
+        "polished",
+        """SELECT row_id, substring(instruction_improved, 1, 120) AS instruction_improved,
+        substring(output_improved, 1, 200) AS output_improved,
+        substring(output_generated, 1, 200) AS output_generated,
+        substring(output_polished, 1, 200) AS output_polished FROM polished ORDER BY row_id LIMIT 5""",
+    ),
     "skip_predicate": _from(
         "pairs", f"SELECT row_id, field, {_skip('text', 'ref_text')} AS skipped FROM pairs"
     ),
@@ -383,15 +396,11 @@ ORACLES: dict[str, str] = {
         """SELECT task_type, row_id, substring(content, 1, 120) AS sample FROM labelled
         QUALIFY row_number() OVER (PARTITION BY task_type ORDER BY row_id) = 1""",
     ),
-    "validation_report": _from(
-        "prepared",
-        f"""SELECT (SELECT count(*) FROM prepared) AS total_rows,
-        (SELECT count(*) FROM prepared WHERE {_blank('content')}) AS empty_prompts,
-        (SELECT string_agg(task_type || '=' || n, ',' ORDER BY task_type) FROM (
-            SELECT task_type, count(*) AS n FROM prepared GROUP BY task_type)) AS task_types,
-        '' AS missing,
-        NOT EXISTS (SELECT 1 FROM prepared WHERE {_blank('content')}) AS is_valid""",
-    ),
+    "validation_report": _from("prepared", _report),
+    "prepare_documents": f"""SELECT doc_id, {_task_type('text')} AS task_type,
+        md5(text) AS digest FROM documents""",
+    "documents_report": f"""WITH prepared AS (
+        SELECT text AS content, {_task_type('text')} AS task_type FROM documents) {_report}""",
     "change_stats": _from("improved", _changed),
     "polish_change_rate": _from(
         "polished",

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from instructspark.catalog import given_tables as given
 from instructspark.functions.classification import task_type
 from instructspark.functions.predicates import should_skip
-from instructspark.functions.prompts import SYSTEM_MESSAGE, chat_prompt, rewrite_prompt
+from instructspark.functions.prompts import (
+    SYSTEM_MESSAGE,
+    chat_prompt,
+    first_content,
+    rewrite_prompt,
+)
 from instructspark.functions.rewards import (
     DEFAULT_REWARDS,
     accuracy_reward,
@@ -164,6 +169,11 @@ def compare_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(_improved(spark, sf_dir), columns, 5, 200)
 
 
+def distill_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    widths = {"instruction_improved": 120, "output_improved": 200, "output_generated": 200, "output_polished": 200}
+    return preview(_polished(spark, sf_dir), widths)
+
+
 def skip_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     skipped = should_skip(F.col("text"), F.col("ref_text")).alias("skipped")
     return _pairs(spark, sf_dir).select("row_id", "field", skipped)
@@ -281,9 +291,9 @@ def sample_per_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.sample_per_task(_labelled(spark, sf_dir))
 
 
-def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _flat_report(prepared: DataFrame) -> DataFrame:
     """The report row with its map and list as text, so that SQL can compare it."""
-    report = reports.validation_report(_prepared(spark, sf_dir))
+    report = reports.validation_report(prepared)
     entries = F.array_sort(F.map_entries("task_type_distribution"))
     flat = F.transform(
         entries, lambda e: F.concat(e.getField("key"), F.lit("="), e.getField("value").cast("string"))
@@ -297,6 +307,34 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_report(_prepared(spark, sf_dir))
+
+
+def _prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given.documents(spark, sf_dir)
+    return prepare(
+        docs.select(
+            "doc_id",
+            F.col("text").alias("instruction_improved"),
+            F.lit("").alias("input_improved"),
+            F.col("text").alias("output_improved"),
+            F.col("text").alias("instruction_en"),
+        )
+    )
+
+
+def prepare_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as instructions: long texts through prompt and labels."""
+    return _prepared_documents(spark, sf_dir).select(
+        "doc_id", "task_type", F.md5(first_content(F.col("prompt"))).alias("digest")
+    )
+
+
+def documents_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_report(_prepared_documents(spark, sf_dir))
+
+
 def change_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.change_stats(_improved(spark, sf_dir))
 
@@ -428,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "subset_first_n": subset_first_n,
     "field_pairs_unpivot": _pairs,
     "compare_preview": compare_preview,
+    "distill_preview": distill_preview,
     "skip_predicate": skip_predicate,
     "skip_split_counts": skip_split_counts,
     "rewrite_prompt": rewrite_prompts,
@@ -449,6 +488,8 @@ QUERIES: dict[str, Query] = {
     "task_distribution_pct": task_distribution_pct,
     "sample_per_task": sample_per_task,
     "validation_report": validation_report,
+    "prepare_documents": prepare_documents,
+    "documents_report": documents_report,
     "change_stats": change_stats,
     "polish_change_rate": polish_change_rate,
     "distill_generate_replay": distil_generate_replay,

@@ -10,7 +10,7 @@ from instructspark.fixed_values import WHITESPACE
 # The same 29 code points as WHITESPACE.  Single Latin-1 characters land in the
 # regex engine's bit table and \p{Z} is one category test, which splits about
 # three times faster than listing every code point.
-WHITESPACE_RUN = r"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x20\x85\xA0\p{Z}]+"
+WHITESPACE_CLASS = r"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x20\x85\xA0\p{Z}]"
 
 
 def or_empty(text: Column) -> Column:
@@ -45,12 +45,12 @@ def bind(body: str, **values: Column) -> Column:
 
 
 def words_sql(text: str) -> str:
-    """SQL text for the lower-cased words of ``text``; an empty array when none."""
-    bare = f"btrim(lower({text}), {sql_literal(WHITESPACE)})"
-    return (
-        f"if({bare} = '', cast(array() as array<string>),"
-        f" split({bare}, {sql_literal(WHITESPACE_RUN)}))"
-    )
+    """SQL text for the lower-cased words of ``text``; an empty array when none.
+
+    Splitting at every single whitespace character and dropping the empty pieces
+    is faster than a pattern for whole runs, and needs no stripping first.
+    """
+    return f"array_remove(split(lower({text}), {sql_literal(WHITESPACE_CLASS)}), '')"
 
 
 def word_overlap_sql(response: str, original: str) -> str:

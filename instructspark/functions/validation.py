@@ -74,6 +74,17 @@ def usable_line(response: Column, rules: ValidationRules = DEFAULT_RULES) -> Col
     return bind(_line_sql("v.bare", rules), bare=strip(response))
 
 
+def _unchanged_sql(rules: ValidationRules) -> str:
+    """SQL test for a response equal to the stripped original.
+
+    Such a response has all words and no growth, so under any sensible rules it
+    passes without building word sets.
+    """
+    if rules.min_overlap > 1 or rules.max_growth < 1 or rules.growth_slack < 0 or rules.min_chars < 1:
+        return "false"
+    return f"v.bare = btrim(v.original, {sql_literal(fixed.WHITESPACE)})"
+
+
 def checked_response(
     response: Column, original: Column, rules: ValidationRules = DEFAULT_RULES
 ) -> Column:
@@ -96,6 +107,7 @@ def checked_response(
         when v.bare is null then {outcome("missing", "v.original")}
         when length(v.bare) < {rules.min_chars} then {outcome("short", "v.original")}
         when {_opens_sql("v.bare", rules)} then {marked}
+        when {_unchanged_sql(rules)} then {outcome("ok", "v.bare")}
         when {word_overlap_sql("v.bare", "v.original")} < {rules.min_overlap}D
             then {outcome("overlap", "v.original")}
         when length(v.bare) > {longest} then {outcome("runaway", "v.original")}
@@ -122,6 +134,7 @@ def validate_response(
     body = f"""case
         when v.bare is null or length(v.bare) < {rules.min_chars} then v.original
         when {_opens_sql("v.bare", rules)} then coalesce({_line_sql("v.bare", rules)}, v.original)
+        when {_unchanged_sql(rules)} then v.bare
         when length(v.bare) > {longest} then v.original
         when {word_overlap_sql("v.bare", "v.original")} < {rules.min_overlap}D then v.original
         else v.bare end"""

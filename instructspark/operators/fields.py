@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,8 +91,13 @@ def first_rows(df: DataFrame, n: int, key: str = "row_id") -> DataFrame:
 
 
 def preview(
-    df: DataFrame, columns: Sequence[str], n: int = 5, width: int = 200, key: str = "row_id"
+    df: DataFrame, columns: Sequence[str] | Mapping[str, int], n: int = 5, width: int = 200,
+    key: str = "row_id",
 ) -> DataFrame:
-    """The first ``n`` rows with long text cut for display."""
-    cut = [F.substring(F.col(name), 1, width).alias(name) for name in columns]
-    return first_rows(df.select(key, *columns), n, key).select(key, *cut)
+    """The first ``n`` rows with long text cut for display.
+
+    ``columns`` are names, all cut at ``width``, or names with their own width.
+    """
+    widths = columns if isinstance(columns, Mapping) else dict.fromkeys(columns, width)
+    cut = [F.substring(F.col(name), 1, chars).alias(name) for name, chars in widths.items()]
+    return first_rows(df.select(key, *widths), n, key).select(key, *cut)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+HOT_SHARE = 1e-4
 HOT_ROWS = 10_000
-NULL_SALTS = 1024
+NULL_SALTS = 10_000
 
 
 def hot_keys(
@@ -38,7 +38,7 @@ def lookup_join(
     """Joins many rows per key to the one row of ``unique`` with that key.
 
     Rows of a hot key are dealt over salts by ``spread`` (a row key of ``df``),
-    each about ``share`` of the table; the matching row of ``unique`` is repeated
+    each about ``share`` of the table or ``min_rows``; the matching row of ``unique`` is repeated
     once per salt, at most ``2 / share`` rows in all.  Cold keys have one salt.
     Adaptive skew handling would not do here: it needs plain shuffles on both
     sides, and ``unique`` is usually an aggregation.
@@ -47,7 +47,7 @@ def lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    if not 1e-4 <= share <= 1:
+    if not 1e-5 <= share <= 1:
         raise ValueError("share must keep the hot keys, at most 1 / share rows, fit to broadcast")
     hot = F.broadcast(hot_keys(df, key, share, min_rows))
     salts = F.coalesce(F.col("_salts"), F.lit(1))

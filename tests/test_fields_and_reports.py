@@ -48,6 +48,8 @@ def test_first_rows_and_preview(raw_rows):
     assert fields.first_rows(raw_rows, 99).count() == 5
     got = fields.preview(raw_rows, ["output"], n=2, width=7).collect()
     assert [(r.row_id, r.output) for r in got] == [(0, "Planter"), (1, "Hunden ")]
+    got = fields.preview(raw_rows, {"output": 3, "instruction": 5}, n=1).first()
+    assert (got.output, got.instruction) == ("Pla", "Forte")
 
 
 @pytest.fixture(scope="module")
