@@ -238,7 +238,7 @@ def validate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies of whole documents against the documents, text only."""
     docs = given.documents(spark, sf_dir)
     result = validate_response(_near_copy(), F.col("text"))
-    return docs.select("doc_id", F.length(result).alias("chars"), F.md5(result).alias("digest"))
+    return docs.select("doc_id", F.length(result).cast("bigint").alias("chars"), F.md5(result).alias("digest"))
 
 
 def _near_copy() -> Column:
