@@ -397,7 +397,7 @@ def accuracy_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def semantic_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring vectors, at the default scale and at one that fits them."""
-    vectors = given.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    vectors = given.read_table(spark, sf_dir, "embeddings")
     follower = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
     left, right = F.col("embedding"), F.col("next")
     return vectors.join(follower, "vec_id").select(
@@ -440,7 +440,7 @@ def incremental_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, F.lit(given.SHORT_RESPONSE))
         .otherwise(_near_copy())
     )
-    docs = spark.read.parquet(source).select("doc_id", "text")
+    docs = spark.read.schema(given.SCHEMAS["documents"]).parquet(source)
     narrow = given.is_narrow(docs)
 
     def pairs(new: DataFrame) -> DataFrame:
