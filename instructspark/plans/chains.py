@@ -50,13 +50,13 @@ def distilled_chain(
 ) -> tuple[DataFrame, Row]:
     """Improve, generate, polish, then prepare with the polished answers.
 
-    Each pass is a written stage table: the two generators never need to be
-    loaded at once, and a later pass reads results instead of repeating them.
+    The two generators run one after the other and leave their texts in the
+    store.  The answered table is only a plan over it: answers and polished
+    answers are attached to the improved table in one job, which shuffles that
+    wide table once.
     """
-    spark = df.sparkSession
     improved = _improved_stage(df, store, rewriter, folder, parts, first)
     answered = distil_generate(improved, store, answerer, parts=parts)
-    answered = read_stage(spark, write_stage(answered, f"{folder}/generated"))
     polished = distil_polish(answered, store, rewriter, parts=parts)
-    polished = read_stage(spark, write_stage(polished, f"{folder}/polished"))
+    polished = read_stage(df.sparkSession, write_stage(polished, f"{folder}/polished"))
     return prepare_distilled_and_publish(polished, f"{folder}/prepared_distilled")

@@ -55,8 +55,12 @@ def responses_wide(responses: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def pending(work: DataFrame, responses: DataFrame) -> DataFrame:
-    """Work whose key has no response yet."""
-    return work.join(responses.select(*KEYS), KEYS, "left_anti")
+    """Work whose key has no response yet.
+
+    Keys with many attempts are reduced to one before the shuffle, and the join
+    reuses that partitioning.
+    """
+    return work.join(responses.select(*KEYS).distinct(), KEYS, "left_anti")
 
 
 def attach_responses(work: DataFrame, responses: DataFrame) -> DataFrame:
