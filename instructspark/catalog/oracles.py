@@ -288,7 +288,8 @@ _template = "|| ".join(
     .split("\0")
     if piece
 )
-_user = f"SELECT row_id, {{pos}}::INTEGER AS pos, 'user' AS role, {_content('instruction', 'input')} AS content FROM inst"
+_user = f"""SELECT row_id, {{pos}}::INTEGER AS pos, 'user' AS role,
+    {_content('instruction', 'input')} AS content FROM inst"""
 _latest_all = "SELECT row_id, field, response, attempt FROM latest"
 _changed = " UNION ALL ".join(
     f"""SELECT '{f}' AS field, count(*) FILTER ({f} IS DISTINCT FROM {f}_improved) AS changed,

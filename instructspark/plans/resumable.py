@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.fixed_values import REWRITE_BATCH_SIZE
+from instructspark.fixed_values import CHECKPOINT_EVERY, REWRITE_BATCH_SIZE
 from instructspark.operators.generation import GeneratorFactory, generate
 from instructspark.session import new_path
 from instructspark.sources.store import KEYS, ResponseStore
 
 
+def parts_for(rows: int, every: int = CHECKPOINT_EVERY) -> int:
+    """The number of parts that commits about every so many rows."""
+    return max(1, -(-rows // every))
+
+
 def generate_pending(
     asked: DataFrame,
     store: ResponseStore,

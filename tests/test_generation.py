@@ -1,13 +1,12 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from instructspark.operators.fields import field_pairs
 from instructspark.operators import generation
 from instructspark.plans import chains, distil
 from instructspark.plans.improve import improve
 from instructspark.plans.prepare import InvalidTableError, check, prepare, prepare_and_publish
-from instructspark.plans.resumable import generate_pending
+from instructspark.plans.resumable import generate_pending, parts_for
 from instructspark.sources.store import ResponseStore
 
 SUFFIX = " Fint."
@@ -68,7 +67,8 @@ def test_generator_with_a_wrong_number_of_answers_fails(spark):
 
 
 def test_chat_prompts_arrive_as_messages(spark):
-    df = spark.createDataFrame([(1, "Hva?", "Dette")], "row_id long, instruction_improved string, input_improved string")
+    schema = "row_id long, instruction_improved string, input_improved string"
+    df = spark.createDataFrame([(1, "Hva?", "Dette")], schema)
     work = distil.answer_work(df, "Svar kort.")
 
     def factory():
@@ -226,3 +226,7 @@ def test_an_invalid_table_is_not_written(spark, tmp_path):
     assert caught.value.report.empty_prompts == 1
     assert not (tmp_path / "out").exists()
     assert check(prepare(df.where("row_id <> 3"))).total_rows == 4
+
+
+def test_parts_for_a_commit_every_so_many_rows():
+    assert [parts_for(n, 500) for n in (0, 1, 500, 501, 51942)] == [1, 1, 1, 2, 104]

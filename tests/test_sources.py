@@ -144,3 +144,21 @@ def test_materialize_cuts_the_lineage(spark):
     made = materialize(spark.range(5).withColumn("r", F.rand()))
     assert rows_of(made) == rows_of(made)
     assert "Range" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_attempts_of_one_key_combine_before_the_shuffle(spark, raw_rows):
+    """One key holds a third of all attempts; it reaches the shuffle as one row per task."""
+    attempts = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 0, id) as row_id", "'instruction' as field",
+        "concat('r', id) as response", "cast(id as int) as attempt")
+    got = {r.row_id: r.response for r in store.latest_responses(attempts, store.KEYS).collect()}
+    assert len(got) == 2001 and got[0] == "r2997"
+    wide = {r.row_id: r.instruction_response for r in store.responses_wide(attempts, ["instruction"]).collect()}
+    assert wide == got
+    for df in (store.latest_responses(attempts, store.KEYS), store.responses_wide(attempts, ["instruction"])):
+        assert "partial_max" in df._jdf.queryExecution().executedPlan().toString()
+    work = field_pairs(raw_rows, [("instruction", "instruction_en")])
+    left = store.pending(work, attempts)
+    assert sorted(r.row_id for r in left.collect()) == [3]
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("HashAggregate(keys=[row_id") >= 2

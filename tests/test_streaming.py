@@ -7,8 +7,11 @@ from instructspark.streaming.incremental import incremental_validate
 def test_only_new_files_are_validated_and_the_result_equals_batch(spark, tmp_path):
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     rows = spark.range(60).selectExpr(
-        "id", "concat('Dette er tekst nummer ', id) as text",
-        "case id % 3 when 0 then 'Kort' when 1 then concat('  Dette er tekst nummer ', id) else 'her er' || repeat('x', 20) end as response")
+        "id",
+        "concat('Dette er tekst nummer ', id) as text",
+        "case id % 3 when 0 then 'Kort' when 1 then concat('  Dette er tekst nummer ', id)"
+        " else 'her er' || repeat('x', 20) end as response",
+    )
 
     def arrive(low, high):
         rows.where(F.col("id").between(low, high - 1)).coalesce(1).write.mode("append").parquet(source)

@@ -84,7 +84,8 @@ def test_markers_and_thresholds_are_parameters(evaluate):
     got = evaluate(validation.checked_response(F.col("response"), F.col("original"), rules), PAIR, rows)
     assert [g.reason for g in got] == ["marker_only", "ok", "short"]
     none = validation.ValidationRules(markers=[])
-    got = evaluate(validation.validation_reason(F.col("response"), F.col("original"), none), PAIR, [("her er alt", "her er alt")])
+    column = validation.validation_reason(F.col("response"), F.col("original"), none)
+    got = evaluate(column, PAIR, [("her er alt", "her er alt")])
     assert got == ["ok"]
 
 
@@ -107,3 +108,16 @@ def test_table_form_and_counts(spark):
 @pytest.mark.parametrize("marker", fixed.PREAMBLE_MARKERS)
 def test_markers_are_lower_case_and_not_empty(marker):
     assert marker and marker == marker.lower()
+
+
+def test_unchanged_shortcut_needs_rules_it_agrees_with(evaluate):
+    rows = [("en helt lik tekst", " en helt lik tekst ")]
+
+    def run(form, rules):
+        return evaluate(form(F.col("response"), F.col("original"), rules), PAIR, rows)
+
+    strict = validation.ValidationRules(min_overlap=1.5)
+    assert run(validation.validation_reason, strict) == ["overlap"]
+    shrink = validation.ValidationRules(max_growth=0, growth_slack=5)
+    assert run(validation.validation_reason, shrink) == ["runaway"]
+    assert run(validation.validate_response, shrink) == [" en helt lik tekst "]
