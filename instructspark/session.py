@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folders made for local applications that name none, by application id.
+_local_folders: dict[str, str] = {}
+
 
 def build_session(app: str = "instructspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution; extra settings override the defaults."""
@@ -36,10 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="instructspark-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-        return folder
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="instructspark-")
+        return _local_folders[context.applicationId]
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
 

@@ -140,6 +140,23 @@ def test_shared_folder_is_the_configured_one(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
 
 
+class FakeSession:
+    """A session of some master with a checkpoint setting, as far as the folder needs."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = self
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.master, self.applicationId = master, f"test-{master}"
+
+
+def test_shared_folder_of_other_sessions():
+    assert shared_folder(FakeSession("spark://x:1", "s3a://b/work/")) == "s3a://b/work"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("spark://x:1", None))
+    own = FakeSession("local[2]", None)
+    assert shared_folder(own) == shared_folder(own)
+
+
 def test_materialize_cuts_the_lineage(spark):
     made = materialize(spark.range(5).withColumn("r", F.rand()))
     assert rows_of(made) == rows_of(made)
