@@ -65,9 +65,9 @@ def raw_rows(spark):
             # NULL text
             (3, None, None, None, "Write a poem.", None, None),
             # input that is rewritten as well
-            (4, "Lag en liste over byene i teksten.", "Oslo og Bergen ligger i Norge.",
-             "Oslo, Bergen og kanskje Tromsø", "List the cities.", "Oslo and Bergen are in Norway.",
-             "Oslo, Bergen"),
+            (4, "Lag en liste over dyrene i teksten.", "Elg og rein lever i Norge.",
+             "Elg, rein og kanskje gaupe", "List the animals.", "Moose and reindeer live in Norway.",
+             "Moose, reindeer"),
         ],
         RAW,
     )

@@ -1,5 +1,7 @@
 """Plain Python statements of the rules, to compare the expressions with."""
 
+from fractions import Fraction
+
 from instructspark import fixed_values as fixed
 
 
@@ -46,10 +48,13 @@ def language(text):
 
 
 def length(text, reference):
-    ratio = len(text) / max(1, len(reference))
-    if 0.7 <= ratio <= 1.5:
-        return 1.0
-    return 0.5 if 0.3 <= ratio <= 3.0 else 0.0
+    """With exact fractions instead of floating point."""
+    share = Fraction(len(text), max(1, len(reference)))
+    for bounds, score in ((fixed.LENGTH_FULL, 1.0), (fixed.LENGTH_HALF, 0.5)):
+        low, high = (Fraction(str(bound)) for bound in bounds)
+        if low <= share <= high:
+            return score
+    return 0.0
 
 
 def accuracy(text, reference, task):

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from instructspark.operators.fields import field_pairs
 from instructspark.operators import generation
@@ -106,7 +107,7 @@ def test_improve_adds_columns_and_keeps_the_rest(raw_rows, kept):
     assert got.columns == raw_rows.columns + [f"{f}_improved" for f in ("instruction", "input", "output")]
     rows = {r.row_id: r for r in got.collect()}
     assert len(rows) == 5
-    assert rows[4].input_improved == "Oslo og Bergen ligger i Norge." + SUFFIX
+    assert rows[4].input_improved == "Elg og rein lever i Norge." + SUFFIX
     assert rows[1].input_improved == "The dog ran home."
     assert (rows[3].instruction, rows[3].instruction_improved) == (None, "")
 
@@ -148,6 +149,15 @@ def test_crash_loses_at_most_one_part(spark, kept):
     assert got[77].output_improved == "Svar nummer 77 til deg" + SUFFIX
 
 
+def test_parts_with_nothing_left_to_do(spark, kept):
+    work = spark.range(6).selectExpr("id as row_id", "'output' as field", "concat('p', id) as prompt")
+    for _ in range(2):
+        generate_pending(work, kept, "one", echo_factory, parts=3)
+    assert kept.read("one").count() == 6
+    generate_pending(work.withColumn("prompt", F.lit(None).cast("string")), kept, "two", echo_factory, parts=2)
+    assert kept.read("two").count() == 0
+
+
 def test_pending_skips_what_another_stage_does_not_have(spark, kept):
     work = spark.range(10).selectExpr("id as row_id", "'output' as field", "concat('p', id) as prompt")
     generate_pending(work.where("row_id < 4"), kept, "one", echo_factory)

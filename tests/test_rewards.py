@@ -12,7 +12,7 @@ from instructspark.operators.skew import hot_keys, lookup_join
 
 
 def test_language_reward(evaluate):
-    texts = ["", "  　", "plain english words", "Blåbær", "æ" + "x" * 199, "æ" + "x" * 99, None, "ÅØÆ"]
+    texts = ["", "  　", "plain english words", "Rødgrøt", "æ" + "x" * 199, "æ" + "x" * 99, None, "ÅØÆ"]
     got = evaluate(rewards.language_reward(F.col("t")), "t string", [(t,) for t in texts])
     assert got == [0.0, 0.0, 0.5, 1.0, 0.75, 1.0, 0.0, 1.0]
     assert got == [model.language(t) for t in texts]
@@ -41,11 +41,11 @@ def test_length_reward_edges(evaluate):
 def test_accuracy_reward(evaluate):
     column = rewards.accuracy_reward(F.col("c"), F.col("r"), F.col("t"))
     rows = [
-        (" Positiv　", "positiv", "classification", 1.0), ("Oslo er stor", "Oslo", "qa", 0.5),
-        ("Oslo", "oslo og bergen", "extraction", 0.5), ("Bergen", "Oslo", "qa", 0.0),
-        ("Oslo", "Oslo", "creative", 0.0), ("Oslo", "Oslo", "generation", 0.0),
-        ("", "Oslo", "qa", 0.5), ("Oslo", "", "qa", 0.5), ("Oslo", "Oslo", None, 0.0),
-        ("Oslo", None, "qa", None), (None, "Oslo", "qa", 0.5),
+        (" Nøytral　", "nøytral", "classification", 1.0), ("Elg med gevir", "Elg", "qa", 0.5),
+        ("Elg", "elg og rein", "extraction", 0.5), ("Gaupe", "Elg", "qa", 0.0),
+        ("Elg", "Elg", "creative", 0.0), ("Elg", "Elg", "generation", 0.0),
+        ("", "Elg", "qa", 0.5), ("Elg", "", "qa", 0.5), ("Elg", "Elg", None, 0.0),
+        ("Elg", None, "qa", None), (None, "Elg", "qa", 0.5),
     ]
     got = evaluate(column, "c string, r string, t string", [row[:3] for row in rows])
     assert got == [row[3] for row in rows]
@@ -84,10 +84,10 @@ def test_semantic_reward(evaluate):
 @pytest.fixture
 def paired(spark):
     rows = [
-        (0, 0, [("assistant", "Oslo")], "Oslo", "qa", [1.0, 0.0], [1.0, 0.0]),
-        (0, 1, [("assistant", "Bergen")], "Oslo", "qa", [0.0, 1.0], [1.0, 0.0]),
-        (1, 2, [("assistant", "Et dikt på ørten linjer")], "Et dikt", "creative", [0.6, 0.8], [0.6, 0.8]),
-        (1, 3, [], "Et dikt", "creative", None, [0.6, 0.8]),
+        (0, 0, [("assistant", "Elg")], "Elg", "qa", [1.0, 0.0], [1.0, 0.0]),
+        (0, 1, [("assistant", "Gaupe")], "Elg", "qa", [0.0, 1.0], [1.0, 0.0]),
+        (1, 2, [("assistant", "En vise på ørten linjer")], "En vise", "creative", [0.6, 0.8], [0.6, 0.8]),
+        (1, 3, [], "En vise", "creative", None, [0.6, 0.8]),
     ]
     return spark.createDataFrame(
         rows,
@@ -126,7 +126,7 @@ def test_own_rewards_native_and_pandas(paired):
 
 
 def test_string_completions(spark):
-    df = spark.createDataFrame([("Oslo", "Oslo")], "completion string, output_improved string")
+    df = spark.createDataFrame([("Elg", "Elg")], "completion string, output_improved string")
     row = scoring.score(df, [rewards.DEFAULT_REWARDS[2]]).first()
     assert row["length"] == 1.0 and row["total"] == 0.5
 

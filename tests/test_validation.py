@@ -10,7 +10,7 @@ from instructspark.operators.validate import reason_counts, with_validated
 
 PAIR = "response string, original string"
 
-TEN_WORDS = "en to tre fire fem seks sju åtte ni ti"
+TEN_WORDS = "januar februar mars april mai juni juli august september oktober"
 LONG_LINE = "Dette er en lang nok linje uten noe rart i seg."
 
 CASES = [
@@ -29,10 +29,10 @@ CASES = [
     ("### Overskrift\nKort linje", "Overskrift", "marker_only", "Overskrift"),
     ("Resultat:\nOg her er en linje som er lang nok til å telle", "x", "marker_only", "x"),
     ("Bedre:\n" + "k" * 30 + "\n" + "l" * 31, "x", "marker_line", "l" * 31),
-    ("Universet blir stadig større og større.", "Katten sov på matta.", "overlap", "Katten sov på matta."),
-    ("en to tre alfa beta gamma delta eps zeta eta", TEN_WORDS, "ok",
-     "en to tre alfa beta gamma delta eps zeta eta"),
-    ("en to alfa beta gamma delta eps zeta eta theta", TEN_WORDS, "overlap", TEN_WORDS),
+    ("Vulkaner finnes også under havet.", "Sykkelen står i boden.", "overlap", "Sykkelen står i boden."),
+    # three of ten words are just enough, two are not
+    ("mars, vinter april mai juni", TEN_WORDS, "ok", "mars, vinter april mai juni"),
+    ("vinter høst april mai", TEN_WORDS, "overlap", TEN_WORDS),
     ("helt nye ord her borte", "", "overlap", ""),
     ("ord ord ord " * 20, "ord", "runaway", "ord"),
     ("a b c d " + "x" * 45, "a", "ok", "a b c d " + "x" * 45),      # 53 = 3 * 1 + 50
