@@ -101,7 +101,7 @@ def test_score_weights_and_null(paired):
     got = {r.completion_id: r for r in scoring.score(paired).collect()}
     assert (got[0].semantic, got[0].language, got[0].length, got[0].accuracy) == (1.0, 0.5, 1.0, 1.0)
     assert got[0].total == 2.0 * 1.0 + 1.0 * 0.5 + 0.5 * 1.0 + 1.5 * 1.0
-    assert got[1].total == 0.5 + 0.5 * 1.0
+    assert got[1].total == 1.0 * 0.5 + 0.5 * 0.5
     assert got[2].semantic == pytest.approx(1.0) and got[2].accuracy == 0.0
     assert got[3].language == 0.0 and got[3].semantic is None and got[3].total is None
 
