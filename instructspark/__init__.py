@@ -17,6 +17,7 @@ from instructspark.functions.rewards import (
     semantic_reward,
 )
 from instructspark.functions.validation import ValidationRules, validate_response
+from instructspark.operators.encoding import embed
 from instructspark.operators.fields import field_pairs, first_rows, preview, require_columns
 from instructspark.operators.generation import generate, rewrite
 from instructspark.operators.reports import (
@@ -33,6 +34,7 @@ from instructspark.plans.chains import distilled_chain, standard_chain
 from instructspark.plans.distil import distil_generate, distil_polish
 from instructspark.plans.improve import improve
 from instructspark.plans.prepare import prepare, prepare_and_publish, prepare_distilled
+from instructspark.plans.scoring import score_and_rank, score_completions
 from instructspark.session import build_session
 from instructspark.sources.jsonl import load_checkpoint, save_checkpoint
 from instructspark.sources.store import ResponseStore
@@ -57,6 +59,7 @@ __all__ = [
     "distil_generate",
     "distil_polish",
     "distilled_chain",
+    "embed",
     "field_pairs",
     "first_rows",
     "generate",
@@ -81,6 +84,8 @@ __all__ = [
     "sample_per_task",
     "save_checkpoint",
     "score",
+    "score_and_rank",
+    "score_completions",
     "semantic_reward",
     "should_skip",
     "standard_chain",

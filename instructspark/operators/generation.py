@@ -27,16 +27,49 @@ GeneratorFn = Callable[[Sequence[Any]], Sequence[str]]
 GeneratorFactory = Callable[[], GeneratorFn]
 
 # One loaded generator per Python worker, shared by the tasks that reuse it.
-_loaded: dict[str, GeneratorFn] = {}
+_loaded: dict[str, Callable[[Sequence[Any]], Sequence[Any]]] = {}
 
 
-def _load_once(token: str, factory: GeneratorFactory) -> GeneratorFn:
+def _load_once(token: str, factory: Callable) -> Callable[[Sequence[Any]], Sequence[Any]]:
     if token not in _loaded:
         _loaded.clear()
         _loaded[token] = factory()
     return _loaded[token]
 
 
+def in_batches(
+    factory: Callable[[], Callable[[Sequence[Any]], Sequence[Any]]],
+    batch_size: int,
+    returns: str,
+    read: Callable[[str], Any] | None = None,
+    write: Callable[[Any], Any] | None = None,
+) -> Callable[..., Column]:
+    """An iterator pandas UDF that hands non-NULL strings to a user's batch function.
+
+    The function sees lists of at most ``batch_size``; NULL gives NULL, unasked.
+    ``read`` decodes each string before, ``write`` encodes each result after.
+    Marked non-deterministic, so that Spark never asks twice for one row.
+    """
+    token = uuid.uuid4().hex
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ask = _load_once(token, factory)
+        for batch in batches:
+            present = batch.notna()
+            items = list(map(read, batch[present])) if read else list(batch[present])
+            answers: list[Any] = []
+            for start in range(0, len(items), batch_size):
+                part = items[start : start + batch_size]
+                results = list(ask(part))
+                if len(results) != len(part):
+                    raise ValueError(f"got {len(results)} results for {len(part)} texts")
+                answers.extend(map(write, results) if write else results)
+            rest = iter(answers)
+            yield pd.Series([next(rest) if there else None for there in present], dtype=object)
+
+    return F.pandas_udf(run, returns).asNondeterministic()
+
+
 def generate(
     df: DataFrame,
     prompt: str,
@@ -46,30 +79,13 @@ def generate(
 ) -> DataFrame:
     """Adds the generated text of each prompt; a NULL prompt gives NULL, unasked.
 
-    Only the prompt column crosses to Python, in Arrow batches, and the function
-    sees lists of at most ``batch_size`` prompts.  The result is marked
-    non-deterministic: write it before using it twice.
+    Only the prompt column crosses to Python, in Arrow batches.  Write the result
+    before using it twice.
     """
-    is_chat = isinstance(df.schema[prompt].dataType, T.ArrayType)
-    token = uuid.uuid4().hex
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ask = _load_once(token, factory)
-        for batch in batches:
-            asked = batch.dropna()
-            prompts = [json.loads(p) for p in asked] if is_chat else list(asked)
-            answers: list[str] = []
-            for start in range(0, len(prompts), batch_size):
-                part = prompts[start : start + batch_size]
-                texts = list(ask(part))
-                if len(texts) != len(part):
-                    raise ValueError(f"generator returned {len(texts)} texts for {len(part)} prompts")
-                answers.extend(texts)
-            yield pd.Series(answers, index=asked.index, dtype=object).reindex(batch.index)
-
-    ask_all = F.pandas_udf(run, "string").asNondeterministic()
-    column = F.to_json(prompt) if is_chat else F.col(prompt)
-    return df.withColumn(output, ask_all(column))
+    if isinstance(df.schema[prompt].dataType, T.ArrayType):
+        ask = in_batches(factory, batch_size, "string", read=json.loads)
+        return df.withColumn(output, ask(F.to_json(prompt)))
+    return df.withColumn(output, in_batches(factory, batch_size, "string")(F.col(prompt)))
 
 
 def with_rewrite_prompt(

@@ -63,7 +63,7 @@ def test_generate_in_batches_and_null_prompts_are_not_asked(spark):
 
 def test_generator_with_a_wrong_number_of_answers_fails(spark):
     df = spark.range(0, 4, 1, 1).selectExpr("concat('p', id) as prompt")
-    with pytest.raises(PySparkException, match="returned 1 texts for 4 prompts"):
+    with pytest.raises(PySparkException, match="got 1 results for 4 texts"):
         generation.generate(df, "prompt", "x", lambda: lambda prompts: ["one"], 8).collect()
 
 
