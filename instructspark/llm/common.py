@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +73,55 @@ def count_threshold(df: DataFrame, count: str, most: int) -> int:
 def sigmoid(x: float) -> float:
     """The logistic function, safe for large arguments."""
     return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, x))))
+
+
+# Longer texts are left out of training samples, so that a sample fits the driver.
+LONGEST_TRAINING_TEXT = 32_768
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: Mapping[int, int], seed: int = 7
+) -> list[tuple[str, int]]:
+    """Labelled texts, about ``most[value]`` at most of each label, in order of their keys.
+
+    Rows of ``labels`` are chosen by a hash of their key before any text is read; the
+    chosen keys, of that bounded number, are broadcast.  A key with several rows gives
+    one text, its least; NULL keys, labels and texts and very long texts give none.
+    """
+    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"))
+    known = known.where(F.col("label").isin(list(most))).groupBy("key").agg(F.max("label").alias("label"))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(1 << 31))
+    chosen = F.lit(False)
+    for value, bound in most.items():
+        limit = int(min(1.0, bound / max(1, counts.get(value, 0))) * (1 << 31))
+        chosen = chosen | ((F.col("label") == value) & (draw < limit))
+    texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    texts = texts.where(F.octet_length("text") <= LONGEST_TRAINING_TEXT)
+    met = texts.join(F.broadcast(known.where(chosen)), "key").groupBy("key", "label").agg(F.min("text").alias("text"))
+    return [(r["text"], r["label"]) for r in sorted(met.collect(), key=lambda r: str(r["key"]))]
+
+
+def fit_logistic(
+    rows: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, ridge: float = 1e-2
+) -> np.ndarray:
+    """Logistic regression by Newton steps; the last weight is the constant.
+
+    Without both labels among the rows the weights are 0 and the constant says the share.
+    """
+    x = np.column_stack([np.asarray(rows, float).reshape(len(labels), -1), np.ones(len(labels))])
+    y = np.asarray(labels, float)
+    w = np.zeros(x.shape[1])
+    if not len(y) or y.min() == y.max():
+        w[-1] = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+        return w
+    each = np.ones(len(y)) if weights is None else np.asarray(weights, float)
+    for _ in range(50):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (each * (y - p)) - ridge * np.append(w[:-1], 0.0)
+        bend = (x * (each * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        w += np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-7:
+            break
+    return w

@@ -182,8 +182,8 @@ def mix(
     """One row per document: ``key, source, size, source_size, target, copies, taken``.
 
     ``taken`` is ``copies * size`` words; copies are at most ``most_repeats``.  The
-    words taken from a source differ from its target by less than its last fractional
-    document.  The result hangs on keys, sizes, sources and the seed, so reruns agree.
+    words taken from a source differ from its target by half of its last fractional
+    document at most.  The result hangs on keys, sizes, sources and the seed, so reruns agree.
 
     NULL text has size 0.  NULL is a source of its own, NULL a key like others.  Rows
     with equal key, source and size, be they many, share copies evenly: one gets a
@@ -248,8 +248,8 @@ def mix(
         )
         if most <= 1:
             break
-    last = uniform(F.lit(seed), F.lit("last"), F.col("draw")) < F.col("p")
-    decided.append(open_rows.select("cid", last.cast("int").alias("copy")))
+    # One fraction per source has no partner left; the nearer whole keeps the sum closest.
+    decided.append(open_rows.select("cid", (F.col("p") >= 0.5).cast("int").alias("copy")))
     copies = decided[0]
     for more in decided[1:]:
         copies = copies.unionByName(more)

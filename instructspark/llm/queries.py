@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import read_table
+from instructspark.llm.common import crc_remainder, read_table
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
 from instructspark.llm.mixing import mix
+from instructspark.llm.quality_crf import fit_quality, score_quality
+from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 from instructspark.llm.url_trie import ALLOW, BLOCK, Rule, filter_urls
 
 URL_RULES = [
@@ -22,6 +24,23 @@ URL_RULES = [
 ]
 
 
+def _judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    model = fit_toxicity(docs, labels.where(~held_out))
+    return _judged(score_toxicity(docs, model), held_out, 0.7)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
     return mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
@@ -40,6 +59,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality")
+    held_out = crc_remainder(F.col("doc_id"), 5) == 0
+    field = fit_quality(docs, labels.where(~held_out))
+    return _judged(score_quality(docs, field), held_out, 0.3)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
     return drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "clean_text")
@@ -51,8 +78,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
     "op4_decontamination": op4_decontamination,
+    "op5_quality": op5_quality,
     "op8_line_dedup": op8_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
