@@ -12,6 +12,7 @@ from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
 from instructspark.llm.mixing import mix
 from instructspark.llm.quality_crf import fit_quality, score_quality
+from instructspark.llm.setsketch import near_duplicates
 from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 from instructspark.llm.url_trie import ALLOW, BLOCK, Rule, filter_urls
 
@@ -67,6 +68,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(score_quality(docs, field), held_out, 0.3)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_duplicates(docs, shingle=2, percent=80)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
     return drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "clean_text")
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op6_near_dedup": op6_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
