@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from instructspark.llm.common import crc_remainder, read_table
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
+from instructspark.llm.imatch import build_lexicon, compare_edited
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
 from instructspark.llm.mixing import mix
 from instructspark.llm.quality_crf import fit_quality, score_quality
@@ -78,6 +79,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "clean_text")
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return compare_edited(docs, build_lexicon(docs))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_near_dedup": op6_near_dedup,
     "op8_line_dedup": op8_line_dedup,
+    "op9_imatch": op9_imatch,
     "op10_url_filter": op10_url_filter,
 }
 
