@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instructspark.llm.common import crc_remainder, read_table
+from instructspark.llm.context_tree import score_texts
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.imatch import build_lexicon, compare_edited
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
@@ -48,6 +49,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = crc_remainder(F.col("doc_id"), 5) == 1
+    return score_texts(docs, ~held_out).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "n_bytes",
+        "bits_per_byte",
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -92,6 +109,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op3_context_tree": op3_context_tree,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_near_dedup": op6_near_dedup,
