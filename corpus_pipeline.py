@@ -13,10 +13,22 @@ from instructspark.llm.common import store
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import drop_boilerplate
 from instructspark.llm.mixing import mixed_documents
+from instructspark.llm.setsketch import MOST_BROADCAST_IDS, near_duplicates
+from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+# A document at least this likely toxic is rejected.
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, trained on the labelled ones, does not reject."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model, output="_toxic").where(F.col("_toxic") < TOXIC).select(*COLUMNS)
+
+
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that are boilerplate of their source."""
     cleaned = drop_boilerplate(docs, host="source", text="text")
@@ -29,6 +41,19 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least doc_id of each group of near-duplicates, by five-word shingles, 0.8 alike.
+
+    A row goes if its doc_id is not the least of its group; a row without doc_id stays.
+    The ids that go are broadcast while they are few, else joined.
+    """
+    found = store(near_duplicates(docs, shingle=5, percent=80), "groups")
+    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    if gone.count() <= MOST_BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty is benchmark text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -41,7 +66,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line dedup", drop_site_lines),
+    ("MinHash near-dedup", keep_one_of_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]

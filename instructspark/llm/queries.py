@@ -15,9 +15,13 @@ from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
 from instructspark.llm.mixing import mix
 from instructspark.llm.quality_crf import fit_quality, score_quality
 from instructspark.llm.setsketch import near_duplicates
+from instructspark.llm.token_edits import apply_edits, load_ranks, token_trees
 from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 from instructspark.llm.url_trie import ALLOW, BLOCK, Rule, filter_urls
 
+# A public vocabulary file on the driver; tasks get its content.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 URL_RULES = [
     Rule("org", "/", ALLOW),
     Rule("example.org", "/es/", BLOCK),
@@ -91,6 +95,36 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, shingle=2, percent=80)
 
 
+def _edits(text: Column, source: Column) -> Column:
+    """Three edits of a text: a replaced span, a deletion, an addition at the end."""
+    n = F.length(text)
+
+    def one(start: Column, length: int, new: Column) -> Column:
+        return F.struct(start.cast("int").alias("start"), F.lit(length).alias("length"), new.alias("new"))
+
+    return F.array(
+        one(F.floor(n / 3), 20, F.concat(F.lit(" see "), source, F.lit(". "))),
+        one(F.floor(n / 2), 10, F.lit("")),
+        one(n + F.lit(100), 0, F.concat(F.lit("\n"), source)),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    vocabulary = load_ranks(VOCABULARY)
+    known = token_trees(docs, vocabulary)
+    source = F.coalesce(F.col("source"), F.lit(""))
+    edits = _edits(F.coalesce(F.col("text"), F.lit("")), source)
+    return apply_edits(known.withColumn("edits", edits), vocabulary).select(
+        "doc_id",
+        "n_tokens",
+        "edited_tokens",
+        "n_pieces",
+        "n_recounted",
+        F.sha2(F.col("edited_text"), 256).alias("edited_sha256"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
     return drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "clean_text")
@@ -113,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_near_dedup": op6_near_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_imatch": op9_imatch,
     "op10_url_filter": op10_url_filter,
