@@ -16,6 +16,10 @@ from instructspark.functions.text import sql_literal
 # A row id is conv_id * TURN_SPACE + turn: unique for any conversation length.
 TURN_SPACE = 1_000_000_000
 
+# Turns from here on belong to companion rows.
+COMPANION_TURN = 500_000_000
+SHORT_INSTRUCTION = "Kort"
+
 TASK_PREFIXES = [
     "Classify this: ",
     "List the points: ",
@@ -44,24 +48,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def is_narrow(scan: DataFrame) -> bool:
-    """True for a bare file scan with fewer splits than there are cores."""
-    return scan.rdd.getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deals rows over the cores by a unique key."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole documents, dealt over the cores when the scan is narrow.
-
-    A large table has plenty of splits and is left alone; one this small is
-    cheap to shuffle next to the text work that follows.
-    """
-    docs = read_table(spark, sf_dir, "documents")
-    return spread(docs, "doc_id") if is_narrow(docs) else docs
+    """Whole documents."""
+    return read_table(spark, sf_dir, "documents")
 
 
 def _case(index: str, values: list[str]) -> str:
@@ -70,11 +59,12 @@ def _case(index: str, values: list[str]) -> str:
 
 
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns with the answer that follows and the system turn before.
+    """User turns with the answer that follows, if any, and the system turn before.
 
     Neighbouring turns meet by equi-joins on (conv_id, turn), which is unique:
     a window per conversation would hang on one long conversation.  Both joins
-    share one partitioning.
+    share one partitioning.  A seventh of the turns gets a companion row whose
+    instruction is short by nature, at a turn of its own.
     """
     turns = read_table(spark, sf_dir, "conversations")
 
@@ -85,16 +75,21 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ["conv_id", "turn"]
     joined = (
         of_role("user", 0, "said")
-        .join(of_role("assistant", -1, "output"), key)
+        .join(of_role("assistant", -1, "output"), key, "left")
         .join(of_role("system", 1, "system"), key, "left")
         .selectExpr("*", "coalesce(system, '') as input")
     )
+    short = f"struct(turn + {COMPANION_TURN} as turn, {sql_literal(SHORT_INSTRUCTION)} as said)"
+    own = "struct(turn, said)"
+    rows = joined.selectExpr(
+        "conv_id", "output", "input", f"inline(if((conv_id + turn) % 7 = 0, array({own}, {short}), array({own})))"
+    )
     same = "(conv_id + turn) % 5 = 0"
-    return joined.selectExpr(
+    return rows.selectExpr(
         f"conv_id * {TURN_SPACE} + turn as row_id",
         "conv_id",
         "turn",
-        "if((conv_id + turn) % 7 = 0, substring(said, 1, 4), said) as instruction",
+        "said as instruction",
         "input",
         "output",
         f"concat({_case('(conv_id * 7 + turn) % 8', TASK_PREFIXES)}, said) as instruction_en",
@@ -172,7 +167,8 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffle.
     """
     first = F.min(F.struct("turn", "output", "instruction_en")).alias("first")
-    prompts = instructions(spark, sf_dir).groupBy(F.col("conv_id").alias("prompt_id")).agg(first)
+    answered = instructions(spark, sf_dir).where(F.col("output").isNotNull())
+    prompts = answered.groupBy(F.col("conv_id").alias("prompt_id")).agg(first)
     return prompts.select(
         "prompt_id",
         F.col("first.output").alias("output_improved"),

@@ -107,21 +107,27 @@ PREFIX = "CASE (conv_id * 7 + turn) % 8 " + " ".join(
 
 # Named table expressions; each query takes those it needs, in this order.
 TABLES = {
-    "turns": """
-        SELECT u.conv_id, u.turn, u.text AS said, a.text AS output, coalesce(s.text, '') AS input
-        FROM conversations u
-        JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
-        LEFT JOIN conversations s ON s.conv_id = u.conv_id AND s.turn = u.turn - 1 AND s.role = 'system'
-        WHERE u.role = 'user'""",
+    "turns": f"""
+        WITH met AS (
+            SELECT u.conv_id, u.turn, u.text AS said, a.text AS output, coalesce(s.text, '') AS input
+            FROM conversations u
+            LEFT JOIN conversations a
+                ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+            LEFT JOIN conversations s
+                ON s.conv_id = u.conv_id AND s.turn = u.turn - 1 AND s.role = 'system'
+            WHERE u.role = 'user')
+        SELECT * FROM met
+        UNION ALL
+        SELECT conv_id, turn + {given.COMPANION_TURN}, {_text(given.SHORT_INSTRUCTION)}, output, input
+        FROM met WHERE (conv_id + turn) % 7 = 0""",
     "inst": f"""
-        SELECT conv_id * {given.TURN_SPACE} + turn AS row_id, conv_id, turn,
-            CASE WHEN (conv_id + turn) % 7 = 0 THEN substring(said, 1, 4) ELSE said END AS instruction,
+        SELECT conv_id * {given.TURN_SPACE} + turn AS row_id, conv_id, turn, said AS instruction,
             input, output, {PREFIX} || said AS instruction_en,
             CASE WHEN (conv_id + turn) % 5 = 0 OR input = '' THEN input ELSE input || ' (en)' END AS input_en,
             CASE WHEN (conv_id + turn) % 5 = 0 THEN output ELSE output || ' (en)' END AS output_en
         FROM turns""",
     "pairs": " UNION ALL ".join(
-        f"SELECT row_id, '{text}' AS field, {text} AS text, {ref} AS ref_text FROM inst"
+        f"SELECT row_id, '{text}' AS field, coalesce({text}, '') AS text, coalesce({ref}, '') AS ref_text FROM inst"
         for text, ref in fixed.COLUMN_PAIRS
     ),
     "responses": " UNION ALL ".join(
@@ -137,7 +143,7 @@ TABLES = {
         )
     ),
     "latest": """
-        SELECT row_id, field, response, attempt FROM responses
+        SELECT row_id, field, response, attempt FROM responses WHERE response IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY row_id, field
             ORDER BY attempt DESC, response DESC NULLS LAST) = 1""",
     "answered": "SELECT p.*, l.response FROM pairs p LEFT JOIN latest l USING (row_id, field)",
@@ -181,7 +187,7 @@ TABLES = {
         SELECT conv_id AS prompt_id, output AS output_improved,
             {_task_type('instruction_en')} AS task_type, e.embedding AS reference_embedding
         FROM (
-            SELECT * FROM inst QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1
+            SELECT * FROM inst WHERE output IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1
         )
         LEFT JOIN embeddings e ON e.vec_id = conv_id * 3 % (SELECT count(*) FROM embeddings)""",
     "paired": f"""
@@ -280,6 +286,13 @@ def _rounded(names: list[str]) -> str:
     return ", ".join(f"round({name}, 6) AS {name}" for name in names)
 
 
+def _rewritten(text: str, ref: str) -> str:
+    """What the marking generator's answer to ``ref, blank line, text`` becomes."""
+    response = f"(string_split({ref} || chr(10) || chr(10) || {text}, chr(10) || chr(10))[-1] || ' !')"
+    result = _result(f"({_reason(response, text)})", response, text)
+    return f"CASE WHEN {_skip(text, ref)} THEN {text} ELSE {result} END"
+
+
 REWARDS = list(fixed.REWARD_WEIGHTS)
 _template = "|| ".join(
     {"{text}": "text", "{reference}": "ref_text"}.get(piece, _text(piece))
@@ -354,12 +367,29 @@ ORACLES: dict[str, str] = {
     "resume_pending": _from(
         "answered",
         """SELECT p.* FROM pairs p WHERE NOT EXISTS (
-        SELECT 1 FROM responses r WHERE r.row_id = p.row_id AND r.field = p.field)""",
+        SELECT 1 FROM responses r WHERE r.row_id = p.row_id AND r.field = p.field
+        AND r.response IS NOT NULL)""",
     ),
     "attach_responses": _from("answered", "SELECT row_id, field, response FROM answered"),
     "improve_replay": _from("results", "SELECT * FROM results"),
     "improved_wide": _from("improved", "SELECT * FROM improved"),
     "improved_gathered": _from("improved", "SELECT * FROM improved"),
+    "generate_batches": _from(
+        "pairs", f"SELECT row_id, field, {_rewritten('text', 'ref_text')} AS result FROM pairs"
+    ),
+    "improve_generated": _from(
+        "inst",
+        f"SELECT {SIX}, "
+        + ", ".join(
+            f"{_rewritten(f'coalesce({t}, {_text("")})', f'coalesce({r}, {_text("")})')} AS {t}_improved"
+            for t, r in fixed.COLUMN_PAIRS
+        )
+        + " FROM inst",
+    ),
+    "resume_changed_text": _from(
+        "pairs",
+        "SELECT row_id, field FROM pairs WHERE length(text) % 2 = 1 OR row_id % 3 = 0",
+    ),
     "validate_response": _from(
         "answered",
         f"""SELECT row_id, field, reason, {_result('reason', 'response', 'text')} AS result
@@ -441,7 +471,8 @@ ORACLES: dict[str, str] = {
         round({_semantic('a.embedding', 'b.embedding', fixed.SIMILARITY_FLOOR,
                          fixed.SIMILARITY_SPAN)}, 6) AS semantic,
         round({_semantic('a.embedding', 'b.embedding', WIDE_FLOOR, WIDE_SPAN)}, 6) AS semantic_wide
-        FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+        FROM embeddings a JOIN embeddings b
+            ON b.vec_id = (a.vec_id + 1) % (SELECT count(*) FROM embeddings)""",
     "weighted_reward": _from(
         "totals", f"SELECT prompt_id, completion_id, {_rounded([*REWARDS, 'total'])} FROM totals"
     ),

@@ -33,12 +33,13 @@ from instructspark.operators.fields import (
     preview,
     swap_reference,
 )
-from instructspark.operators.generation import accepted_text
+from instructspark.operators.generation import accepted_text, rewrite
 from instructspark.operators.generation import skip_split_counts as count_skips
 from instructspark.operators.validate import reason_counts, with_validated
 from instructspark.plans.distil import answers_from_responses, polish_from_responses
-from instructspark.plans.improve import improved_from_responses
+from instructspark.plans.improve import improve, improved_from_responses
 from instructspark.plans.prepare import prepare, prepare_distilled
+from instructspark.plans.resumable import generate_pending
 from instructspark.session import materialize, new_path
 from instructspark.sources import jsonl, store, tables
 from instructspark.streaming.incremental import incremental_validate as validate_new_files
@@ -164,14 +165,27 @@ def subset_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_rows(given.instruction_table(spark, sf_dir), 100)
 
 
+def _first_improved(spark: SparkSession, sf_dir: str, n: int) -> tuple[DataFrame, DataFrame]:
+    """The first rows of the source, improved, and their keys."""
+    base = first_rows(given.instruction_table(spark, sf_dir), n)
+    keys = base.select("row_id")
+    mine = given.responses(spark, sf_dir).join(keys, "row_id", "left_semi")
+    return improved_from_responses(base, mine), keys
+
+
 def compare_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["instruction", "instruction_improved", "output", "output_improved", "output_en"]
-    return preview(_improved(spark, sf_dir), columns, 5, 200)
+    improved, _ = _first_improved(spark, sf_dir, 5)
+    return preview(improved, columns, 5, 200)
 
 
 def distill_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     widths = {"instruction_improved": 120, "output_improved": 200, "output_generated": 200, "output_polished": 200}
-    return preview(_polished(spark, sf_dir), widths)
+    improved, keys = _first_improved(spark, sf_dir, 5)
+    answers = given.answer_responses(spark, sf_dir).join(keys, "row_id", "left_semi")
+    polishes = given.polish_responses(spark, sf_dir).join(keys, "row_id", "left_semi")
+    polished = polish_from_responses(answers_from_responses(improved, answers), polishes)
+    return preview(polished, widths)
 
 
 def skip_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,6 +240,47 @@ def improved_gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gather_fields(given.instruction_table(spark, sf_dir), long, "result")
 
 
+def _shouting() -> Callable[[list], list[str]]:
+    """A generator whose answers SQL can tell: the last line of a prompt, marked."""
+    return lambda prompts: [
+        (p if isinstance(p, str) else p[-1]["content"]).rsplit("\n\n", 1)[-1] + " !" for p in prompts
+    ]
+
+
+def _declining() -> Callable[[list], list[str | None]]:
+    """Answers texts of even length only."""
+    return lambda prompts: [p + " !" if len(p) % 2 == 0 else None for p in prompts]
+
+
+def generate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skip, prompt, generate in batches, validate, in one pass."""
+    return rewrite(_pairs(spark, sf_dir), _shouting, template="{reference}\n\n{text}").select(
+        "row_id", "field", "result"
+    )
+
+
+def improve_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Improve through a store in several commits, twice: the rerun finds nothing to ask."""
+    kept = store.ResponseStore(spark, new_path(spark, "responses"))
+    table = materialize(given.instruction_table(spark, sf_dir), "instructions")
+    for _ in range(2):
+        improved = improve(table, kept, _shouting, parts=3, template="{reference}\n\n{text}")
+    return improved
+
+
+def resume_changed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is pending after a first run once every third text has changed.
+
+    The first run's generator answers only prompts of even length.
+    """
+    kept = store.ResponseStore(spark, new_path(spark, "responses"))
+    pairs = materialize(_pairs(spark, sf_dir), "pairs")
+    asked = pairs.select("row_id", "field", F.col("text").alias("prompt"))
+    generate_pending(asked, kept, "improve", _declining, parts=2)
+    changed = F.when(F.col("row_id") % 3 == 0, F.concat("prompt", F.lit(" mer"))).otherwise(F.col("prompt"))
+    return kept.pending(asked.withColumn("prompt", changed), "improve").select("row_id", "field")
+
+
 # --- Response validation ---------------------------------------------------
 
 
@@ -396,11 +451,11 @@ def accuracy_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def semantic_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring vectors, at the default scale and at one that fits them."""
-    vectors = given.read_table(spark, sf_dir, "embeddings")
-    follower = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
+    """Each vector and the next, the last one's being the first, at two scales."""
+    vectors = given.read_table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "own_id")
+    both = given.with_vectors(vectors, F.col("own_id") + 1, "next", sf_dir)
     left, right = F.col("embedding"), F.col("next")
-    return vectors.join(follower, "vec_id").select(
+    return both.withColumnRenamed("own_id", "vec_id").select(
         "vec_id",
         F.round(semantic_reward(left, right), 6).alias("semantic"),
         F.round(semantic_reward(left, right, WIDE_FLOOR, WIDE_SPAN), 6).alias("semantic_wide"),
@@ -441,10 +496,6 @@ def incremental_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_near_copy())
     )
     docs = spark.read.schema(given.SCHEMAS["documents"]).parquet(source)
-    narrow = given.is_narrow(docs)
-
-    def pairs(new: DataFrame) -> DataFrame:
-        return (given.spread(new, "doc_id") if narrow else new).withColumn("response", response)
 
     return validate_new_files(
         spark,
@@ -452,7 +503,7 @@ def incremental_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs.schema,
         new_path(spark, "validated"),
         new_path(spark, "validated-progress"),
-        pairs=pairs,
+        pairs=lambda new: new.withColumn("response", response),
         finish=lambda checked: checked.select("doc_id", "reason", F.md5("result").alias("digest")),
     )
 
@@ -477,6 +528,9 @@ QUERIES: dict[str, Query] = {
     "improve_replay": improve_replay,
     "improved_wide": _improved,
     "improved_gathered": improved_gathered,
+    "generate_batches": generate_batches,
+    "improve_generated": improve_generated,
+    "resume_changed_text": resume_changed_text,
     "validate_response": validate_responses,
     "validate_documents": validate_documents,
     "preamble_extract": preamble_extract,

@@ -87,16 +87,6 @@ REWARD_WEIGHTS = {"semantic": 2.0, "language": 1.0, "length": 0.5, "accuracy": 1
 
 REWRITE_BATCH_SIZE = 8
 ANSWER_BATCH_SIZE = 4
-CHECKPOINT_EVERY = 500
-
-# Sampling settings handed to a rewrite generator that wants them.
-REWRITE_SAMPLING = {
-    "max_new_tokens": 256,
-    "do_sample": True,
-    "temperature": 0.3,
-    "top_p": 0.9,
-    "repetition_penalty": 1.1,
-}
 
 # --- Text ------------------------------------------------------------------
 

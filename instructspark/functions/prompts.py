@@ -14,19 +14,16 @@ MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("co
 CHAT = T.ArrayType(MESSAGE)
 
 # Defaults only: pass the wording that suits the model in use.
-REWRITE_TEMPLATE = """Skriv om teksten nedenfor til godt og naturlig norsk. Behold meningen.
+REWRITE_TEMPLATE = """Du får en norsk tekst som kan være stiv eller oversatt ord for ord. Gi den tilbake \
+på ledig norsk, med samme innhold og like mange opplysninger.
 
-Eksempel
-Før: Møtet ble holdt av oss i går kveld.
-Etter: Vi hadde møte i går kveld.
+Slik ser det ut:
+Original: Været vil i morgen komme til å være preget av regn.
+Bedre: I morgen blir det regn.
 
-Eksempel
-Før: Hun tok en avgjørelse om å si nei.
-Etter: Hun bestemte seg for å si nei.
+Engelsk utgave, bare for meningen: {reference}
 
-Betydningen på engelsk (bare til hjelp): {reference}
-
-Svar KUN med den nye teksten.
+Skriv bare den nye teksten, uten forklaring.
 
 {text}"""
 

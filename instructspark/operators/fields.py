@@ -86,8 +86,13 @@ def swap_reference(
 
 
 def first_rows(df: DataFrame, n: int, key: str = "row_id") -> DataFrame:
-    """The first ``n`` rows in key order (a distributed top-k, not a full sort)."""
-    return df.orderBy(key).limit(n)
+    """The first ``n`` rows in key order; keys are unique.
+
+    Only keys are sorted, for the n-th one; the rows are then a filter on the key,
+    which reaches the scan and leaves them distributed.
+    """
+    last = df.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+    return df.where(F.col(key) <= F.lit(last)) if last is not None else df.limit(0)
 
 
 def preview(
@@ -97,6 +102,7 @@ def preview(
     """The first ``n`` rows with long text cut for display.
 
     ``columns`` are names, all cut at ``width``, or names with their own width.
+    Previews of a long plan start from ``first_rows`` of its source instead.
     """
     widths = columns if isinstance(columns, Mapping) else dict.fromkeys(columns, width)
     cut = [F.substring(F.col(name), 1, chars).alias(name) for name, chars in widths.items()]

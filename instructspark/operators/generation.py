@@ -11,8 +11,10 @@ import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
+from weakref import WeakKeyDictionary
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,15 +28,30 @@ from instructspark.functions.validation import DEFAULT_RULES, ValidationRules, v
 GeneratorFn = Callable[[Sequence[Any]], Sequence[str]]
 GeneratorFactory = Callable[[], GeneratorFn]
 
-# One loaded generator per Python worker, shared by the tasks that reuse it.
-_loaded: dict[str, Callable[[Sequence[Any]], Sequence[Any]]] = {}
+# Loaded generators of a Python worker by token, each with the stage that used it last.
+_loaded: dict[str, tuple[Callable[[Sequence[Any]], Sequence[Any]], int]] = {}
+
+# On the driver: one token per factory, so that all parts and columns share a load.
+_tokens: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def _load_once(token: str, factory: Callable) -> Callable[[Sequence[Any]], Sequence[Any]]:
+    """The generator of a token.  A load evicts what the running stage does not use."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else 0
     if token not in _loaded:
-        _loaded.clear()
-        _loaded[token] = factory()
-    return _loaded[token]
+        for other in [t for t, (_, last) in _loaded.items() if last != stage]:
+            del _loaded[other]
+    ask = _loaded[token][0] if token in _loaded else factory()
+    _loaded[token] = ask, stage
+    return ask
+
+
+def _token_of(factory: Callable) -> str:
+    try:
+        return _tokens.setdefault(factory, uuid.uuid4().hex)
+    except TypeError:  # not hashable, or without weak references
+        return uuid.uuid4().hex
 
 
 def in_batches(
@@ -50,7 +67,7 @@ def in_batches(
     ``read`` decodes each string before, ``write`` encodes each result after.
     Marked non-deterministic, so that Spark never asks twice for one row.
     """
-    token = uuid.uuid4().hex
+    token = _token_of(factory)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ask = _load_once(token, factory)

@@ -49,12 +49,13 @@ def task_distribution_pct(df: DataFrame) -> DataFrame:
 def sample_per_task(df: DataFrame, width: int = 120, key: str = "row_id") -> DataFrame:
     """The first row of each task type with the head of its prompt.
 
-    A minimum per label, not a ranking: a label may hold most of the table.
+    The least key per label combines before the shuffle; only the rows that have
+    those keys are then looked at, so no prompt is sorted or shuffled.
     """
     head = F.substring(first_content(F.col("prompt")), 1, width)
-    first = F.min(F.struct(F.col(key), head.alias("sample"))).alias("_first")
-    grouped = df.groupBy(_label(df).alias("task_type")).agg(first)
-    return grouped.select("task_type", F.col("_first").getField(key).alias(key), "_first.sample")
+    first = df.groupBy(_label(df).alias("task_type")).agg(F.min(key).alias(key))
+    heads = df.select(key, head.alias("sample"))
+    return first.join(heads, key).select("task_type", key, "sample")
 
 
 def validation_report(df: DataFrame, required: Sequence[str] = PREPARED_REQUIRED) -> DataFrame:

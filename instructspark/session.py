@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Folders made for local applications that name none, by application id.
-_local_folders: dict[str, str] = {}
-
 
 def build_session(app: str = "instructspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution; extra settings override the defaults."""
@@ -33,18 +29,21 @@ def build_session(app: str = "instructspark", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local-mode session
-    without that setting gets a folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting it is a
+    folder of the warehouse, which all executors share as well.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        if context.applicationId not in _local_folders:
-            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="instructspark-")
-        return _local_folders[context.applicationId]
-    raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
+    return folder.rstrip("/")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table that this application wrote under the shared folder."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not under the shared folder")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -1,3 +1,4 @@
+import os
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -48,19 +49,27 @@ def test_scores_from_texts(tables):
         assert row.semantic == pytest.approx(min(1.0, max(0.0, (cosine - 0.5) / 0.45)), abs=1e-5)
 
 
-def test_each_reference_is_embedded_once(spark, tables):
+def test_each_reference_is_embedded_once_and_the_encoder_loaded_once(spark, tables, tmp_path):
+    """Both embedding columns share one encoder per worker process."""
     completions, references = tables
-    encoded = spark.sparkContext.accumulator(0)
+    log = tmp_path / "log"
 
     def counting():
+        with log.open("a") as file:
+            file.write(f"load {os.getpid()}\n")
+
         def encode(texts):
-            encoded.add(len(texts))
+            with log.open("a") as file:
+                file.write("text\n" * len(texts))
             return [[1.0, 0.0] for _ in texts]
 
         return encode
 
     score_completions(completions, references, counting).collect()
-    assert encoded.value == 66
+    lines = log.read_text().splitlines()
+    assert lines.count("text") == 66
+    loads = [x for x in lines if x.startswith("load")]
+    assert len(loads) == len(set(loads))
 
 
 def test_score_and_rank(tables, tmp_path):

@@ -44,9 +44,11 @@ def test_swap_reference(spark):
 
 
 def test_first_rows_and_preview(raw_rows):
-    assert [r.row_id for r in fields.first_rows(raw_rows.orderBy(F.desc("row_id")), 3).collect()] == [0, 1, 2]
+    first = fields.first_rows(raw_rows.orderBy(F.desc("row_id")), 3)
+    assert sorted(r.row_id for r in first.collect()) == [0, 1, 2]
+    assert fields.first_rows(raw_rows.limit(0), 3).count() == 0
     assert fields.first_rows(raw_rows, 99).count() == 5
-    got = fields.preview(raw_rows, ["output"], n=2, width=7).collect()
+    got = fields.preview(raw_rows, ["output"], n=2, width=7).orderBy("row_id").collect()
     assert [(r.row_id, r.output) for r in got] == [(0, "Planter"), (1, "Hunden ")]
     got = fields.preview(raw_rows, {"output": 3, "instruction": 5}, n=1).first()
     assert (got.output, got.instruction) == ("Pla", "Forte")

@@ -1,3 +1,6 @@
+import os
+import tempfile
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -18,10 +21,25 @@ def echo_factory():
     return lambda prompts: [p.rsplit("\n", 1)[-1] + SUFFIX for p in prompts]
 
 
+class Tally:
+    """A number that worker processes add to; a loaded generator outlives a task's accumulators."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def add(self, n):
+        with open(self.path, "ab") as file:
+            file.write(b"x" * n)
+
+    @property
+    def value(self):
+        return os.path.getsize(self.path) if os.path.exists(self.path) else 0
+
+
 def counted(spark):
-    """An echo generator that counts prompts, batches and loads."""
-    context = spark.sparkContext
-    asked, calls, largest = (context.accumulator(0) for _ in range(3))
+    """An echo generator that counts prompts, batches and too large batches."""
+    folder = tempfile.mkdtemp(prefix="counted-")
+    asked, calls, largest = (Tally(f"{folder}/{name}") for name in ("asked", "calls", "largest"))
 
     def factory():
         def ask(prompts):
@@ -138,12 +156,12 @@ def test_crash_loses_at_most_one_part(spark, kept):
         return ask
 
     with pytest.raises(PySparkException, match="out of memory"):
-        improve(df, kept, failing_factory, parts=10)
+        improve(df, kept, failing_factory)
     done = kept.read("improve").count()
     assert 0 <= done < 500 and done == kept.latest("improve").count()
 
     factory, asked, *_ = counted(spark)
-    got = {r.row_id: r for r in improve(df, kept, factory, parts=10).collect()}
+    got = {r.row_id: r for r in improve(df, kept, factory).collect()}
     assert asked.value == 500 - done
     assert kept.read("improve").count() == 500
     assert got[77].output_improved == "Svar nummer 77 til deg" + SUFFIX
@@ -178,6 +196,56 @@ def test_model_is_loaded_once_per_worker(spark, tmp_path):
     assert 1 <= loads.value <= 8  # 40 tasks on 4 cores
 
 
+def test_model_is_loaded_once_per_worker_for_all_parts(spark, kept, tmp_path):
+    log = tmp_path / "log"
+
+    def factory():
+        with log.open("a") as file:
+            file.write(f"{os.getpid()}\n")
+        return lambda prompts: [p + " Fint." for p in prompts]
+
+    improve(many_rows(spark, 60), kept, factory, parts=6)
+    loads = log.read_text().split()
+    assert loads and len(loads) == len(set(loads))
+
+
+def test_responses_belong_to_their_prompt(spark, kept):
+    """A changed text or template is asked again and the old response is not taken."""
+    pairs = [("instruction", "instruction_en")]
+    template = "{reference}|{text}"
+
+    def table(text):
+        return spark.createDataFrame(
+            [(1, text, "Say it."), (2, "Den andre teksten her.", "Other.")],
+            "row_id long, instruction string, instruction_en string",
+        )
+
+    def asked():
+        rows = kept.read("improve").orderBy("row_id", "attempt").collect()
+        return [(r.row_id, r.attempt) for r in rows]
+
+    def factory():
+        return lambda prompts: [p.rsplit("|", 1)[-1] + " Ny." for p in prompts]
+
+    improve(table("Den første teksten her."), kept, factory, pairs=pairs, template=template)
+    assert asked() == [(1, 1), (2, 1)]
+    changed = improve(table("Den endrede teksten her."), kept, factory, pairs=pairs, template=template)
+    assert asked() == [(1, 1), (1, 2), (2, 1)]
+    got = {r.row_id: r.instruction_improved for r in changed.collect()}
+    assert got[1] == "Den endrede teksten her. Ny."
+    improve(table("Den endrede teksten her."), kept, factory, pairs=pairs, template="Ny: " + template)
+    assert asked() == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2)]
+
+
+def test_a_missing_answer_is_asked_again(spark, kept):
+    work = spark.createDataFrame([(1, "a", "p"), (2, "a", "q")], "row_id long, field string, prompt string")
+    generate_pending(work, kept, "s", lambda: lambda prompts: [p if p == "p" else None for p in prompts])
+    generate_pending(work, kept, "s", lambda: lambda prompts: [p + "2" for p in prompts])
+    rows = sorted((r.row_id, r.attempt, r.response) for r in kept.read("s").where("response is not null").collect())
+    assert rows == [(1, 1, "p"), (2, 2, "q2")]
+    assert kept.pending(work, "s").count() == 0
+
+
 def test_distil_passes(spark, kept):
     df = improve(many_rows(spark, 30), kept, echo_factory)
 
@@ -207,7 +275,7 @@ def test_polish_skips_answers_equal_to_the_english_instruction(spark, kept):
 
 
 def test_standard_chain(spark, kept, tmp_path):
-    prepared, report = chains.standard_chain(many_rows(spark, 40), kept, echo_factory, str(tmp_path), parts=2, first=25)
+    prepared, report = chains.standard_chain(many_rows(spark, 40), kept, echo_factory, str(tmp_path), first=25, options=chains.StageOptions(parts=2))
     assert report.total_rows == 25 and report.is_valid
     assert prepared.count() == 25 and prepared.columns[-2:] == ["prompt", "task_type"]
 
@@ -239,4 +307,5 @@ def test_an_invalid_table_is_not_written(spark, tmp_path):
 
 
 def test_parts_for_a_commit_every_so_many_rows():
-    assert [parts_for(n, 500) for n in (0, 1, 500, 501, 51942)] == [1, 1, 1, 2, 104]
+    assert [parts_for(n, 500, 1) for n in (0, 1, 500, 501, 51942)] == [1, 1, 1, 2, 104]
+    assert [parts_for(n, 500) for n in (0, 1, 5, 500, 51942)] == [1, 1, 5, 8, 104]

@@ -2,12 +2,13 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from instructspark.fixed_values import RAW_COLUMNS
 from instructspark.operators.fields import MissingColumnsError, field_pairs
-from instructspark.session import materialize, new_path, shared_folder
+from instructspark.session import materialize, new_path, remove_path, shared_folder
 from instructspark.sources import jsonl, store, tables
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
@@ -97,7 +98,7 @@ def filled(spark, tmp_path):
 
 def test_store_reads_the_latest_attempt(filled):
     got = {(r.row_id, r.field): (r.response, r.attempt) for r in filled.latest("s").collect()}
-    assert got == {(1, "a"): ("newer", 2), (2, "a"): (None, 2), (1, "b"): (None, 1)}
+    assert got == {(1, "a"): ("newer", 2), (2, "a"): ("two", 1)}
     assert filled.latest("t").first().response == "elsewhere"
     assert filled.latest("none").count() == 0
 
@@ -111,7 +112,7 @@ def test_repeated_appends_do_not_change_the_result(spark, filled):
 
 def test_store_wide(filled):
     got = {r.row_id: (r.a_response, r.b_response) for r in filled.wide("s", ["a", "b"]).collect()}
-    assert got == {1: ("newer", None), 2: (None, None)}
+    assert got == {1: ("newer", None), 2: ("two", None)}
 
 
 def test_store_reads_only_its_stage(filled):
@@ -124,12 +125,12 @@ def test_pending_and_attach(spark, filled, raw_rows):
     assert sorted(r.row_id for r in filled.pending(work, "s").collect()) == [0, 3, 4]
     assert filled.pending(work, "none").count() == 5
     got = {r.row_id: r.response for r in store.attach_responses(work, filled.read("s")).collect()}
-    assert got == {0: None, 1: "newer", 2: None, 3: None, 4: None}
+    assert got == {0: None, 1: "newer", 2: "two", 3: None, 4: None}
 
 
 def test_unstored_path_is_an_empty_store(spark, tmp_path):
     kept = store.ResponseStore(spark, str(tmp_path / "nothing"))
-    assert kept.read("s").columns == ["row_id", "field", "response", "attempt"]
+    assert kept.read("s").columns == ["row_id", "field", "response", "attempt", "prompt_sha"]
     assert kept.latest("s").count() == 0
 
 
@@ -141,20 +142,25 @@ def test_shared_folder_is_the_configured_one(spark):
 
 
 class FakeSession:
-    """A session of some master with a checkpoint setting, as far as the folder needs."""
+    """A session's settings, as far as the folder needs them."""
 
-    def __init__(self, master, folder):
-        self.sparkContext = self
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.master, self.applicationId = master, f"test-{master}"
+    def __init__(self, settings):
+        self.conf = settings
 
 
 def test_shared_folder_of_other_sessions():
-    assert shared_folder(FakeSession("spark://x:1", "s3a://b/work/")) == "s3a://b/work"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession("spark://x:1", None))
-    own = FakeSession("local[2]", None)
-    assert shared_folder(own) == shared_folder(own)
+    assert shared_folder(FakeSession({"spark.checkpoint.dir": "s3a://b/work/"})) == "s3a://b/work"
+    assert shared_folder(FakeSession({"spark.sql.warehouse.dir": "hdfs://w/"})) == "hdfs://w/intermediate"
+
+
+def test_only_intermediate_tables_are_removed(spark):
+    path = new_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_path(spark, path)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path).count()
+    with pytest.raises(ValueError, match="not under"):
+        remove_path(spark, "/somewhere/else")
 
 
 def test_materialize_cuts_the_lineage(spark):
