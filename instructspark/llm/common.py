@@ -29,6 +29,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Whole texts can be long: a Python worker gets this many rows at a time at most.
+TEXT_BATCH = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession, most: int = TEXT_BATCH) -> None:
+    """Lowers the session's Arrow batch size to ``most`` rows; a smaller setting stays."""
+    now = int(spark.conf.get(_BATCH))
+    if now <= 0 or now > most:
+        spark.conf.set(_BATCH, str(most))
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     return F.translate(column, UPPER, UPPER.lower())
@@ -109,7 +121,9 @@ def fit_logistic(
 
     Without both labels among the rows the weights are 0 and the constant says the share.
     """
-    x = np.column_stack([np.asarray(rows, float).reshape(len(labels), -1), np.ones(len(labels))])
+    rows = np.asarray(rows, float)
+    rows = rows[:, None] if rows.ndim == 1 else rows
+    x = np.column_stack([rows, np.ones(len(labels))])
     y = np.asarray(labels, float)
     w = np.zeros(x.shape[1])
     if not len(y) or y.min() == y.max():

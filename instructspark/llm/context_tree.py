@@ -22,14 +22,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import count_threshold, store, words_of
+from instructspark.llm.common import bound_batches, count_threshold, store, words_of
 
 # Bytes of context; a context and the next byte fit eight bytes.
 DEPTH = 6
@@ -80,19 +81,26 @@ def word_counts(df: DataFrame) -> DataFrame:
     return counted.groupBy("cls", "word").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train"))
 
 
-def context_keys(word: bytes, cls: int, depth: int = DEPTH) -> np.ndarray:
-    """For each byte of a word and its closing space: its context and itself, packed.
+_STARTS = [bytes([PAD] * (DEPTH - 2)) + bytes([0x80 + c]) + b" " for c in range(CLASSES)]
+
+
+def context_keys(words: Sequence[bytes], classes: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of each word and its closing space: its context and itself, packed;
+    and how many each word has.
 
     The lowest byte is the coded one, above it the context, nearest byte first: the
     word's earlier bytes, its opening space, the class, padding.
     """
-    start = bytes([PAD] * (depth - 2)) + bytes([0x80 + cls]) + b" "
-    data = np.frombuffer(start + word + b" ", np.uint8).astype(np.uint64)
-    n = len(word) + 1
-    keys = data[depth:].copy()
-    for back in range(1, depth + 1):
-        keys |= data[depth - back : depth - back + n] << np.uint64(8 * back)
-    return keys
+    lengths = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+    data = np.frombuffer(b"".join(_STARTS[c] + w + b" " for w, c in zip(words, classes, strict=True)), np.uint8)
+    data = data.astype(np.uint64)
+    keys = data.copy()
+    for back in range(1, DEPTH + 1):
+        keys[back:] |= data[:-back] << np.uint64(8 * back)
+    coded = np.ones(len(data), bool)
+    starts = np.cumsum(lengths + DEPTH) - lengths - DEPTH
+    coded[(starts[:, None] + np.arange(DEPTH)).ravel()] = False
+    return keys[coded], lengths
 
 
 def end_key(cls: int) -> int:
@@ -105,11 +113,9 @@ def _contexts(units: DataFrame, ends: dict[int, int]) -> DataFrame:
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = [context_keys(w, c) for w, c in zip(batch["word"], batch["cls"], strict=True)]
-            if not keys:
-                continue
-            each = np.repeat(batch["n_train"].to_numpy(np.int64), [len(k) for k in keys])
-            distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
+            keys, lengths = context_keys(batch["word"], batch["cls"])
+            each = np.repeat(batch["n_train"].to_numpy(np.int64), lengths)
+            distinct, where = np.unique(keys, return_inverse=True)
             sums = np.bincount(where, each, len(distinct)).astype(np.int64)
             yield pd.DataFrame({"key": distinct.view(np.int64), "n": sums})
 
@@ -119,90 +125,143 @@ def _contexts(units: DataFrame, ends: dict[int, int]) -> DataFrame:
     return found.unionByName(end).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _log_gamma(x: Column) -> Column:
+# Subtrees below this depth are worked on as one group each.
+TOP = 2
+HALF = math.log(2.0)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma for x of 0.5 or more, by Stirling's series at x + 8."""
-    y = x + F.lit(8.0)
-    series = (y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi))
-    inverse = F.lit(1.0) / y
-    series = series + inverse * (F.lit(1 / 12) - inverse * inverse * (F.lit(1 / 360) - inverse * inverse / 1260))
-    steps = F.lit(0.0)
-    for i in range(8):
-        steps = steps + F.log(x + F.lit(float(i)))
-    return series - steps
+    y = x + 8.0
+    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi)
+    series += (1 / 12 - (1 / 360 - 1 / (1260 * y * y)) / (y * y)) / y
+    return series - sum(np.log(x + i) for i in range(8))
 
 
-def _kt(zeros: Column, ones: Column) -> Column:
+def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    both = _log_gamma(zeros + F.lit(0.5)) + _log_gamma(ones + F.lit(0.5))
-    return both - _log_gamma(zeros + ones + F.lit(1.0)) - F.lit(math.log(math.pi))
+    both = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5)
+    return both - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def _log_add(a: Column, b: Column) -> Column:
-    top = F.greatest(a, b)
-    return top + F.log1p(F.exp(F.least(a, b) - top))
+@dataclass
+class Level:
+    """The nodes of one depth of some subtrees.
 
+    A node is a context (bytes above the lowest eight bits) with a prefix of the coded
+    byte's bits (the lowest eight, a leading 1 before them).
+    """
 
-def byte_code_lengths(contexts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    nodes: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    log_weighted: np.ndarray
+    stay: np.ndarray  # the posterior weight of ending here
+    up: np.ndarray | None = None  # each node's place in the level above
+
+    @property
+    def one(self) -> np.ndarray:
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1.0)
+
+    def parents(self, depth: int) -> Level:
+        """The level above one of the given depth: sums, and even mixtures."""
+        above = self.nodes & np.uint64((1 << (8 * depth)) - 1)
+        nodes, self.up = np.unique(above, return_inverse=True)
+
+        def total(x: np.ndarray) -> np.ndarray:
+            return np.bincount(self.up, x, len(nodes))
+
+        zeros, ones, split = total(self.zeros), total(self.ones), total(self.log_weighted)
+        own = log_kt(zeros, ones)
+        weighted = np.logaddexp(own, split) - HALF
+        return Level(nodes, zeros, ones, weighted, np.exp(own - HALF - weighted))
+
+    def mixtures(self, mixed: np.ndarray, rest: np.ndarray, above: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What the level above mixed so far, the weight it left, its probability; so here."""
+        one, seen = self.one, self.zeros + self.ones > 0
+        here = np.where(seen, mixed + rest * one, above)
+        return mixed + rest * self.stay * one, rest * (1 - self.stay), here
+
+
+def _decisions(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and bits of the eight decisions (rows) of each key's byte."""
+    byte = (keys & np.uint64(0xFF))[None, :]
+    i = np.arange(8, dtype=np.uint64)[:, None]
+    prefix = (byte | np.uint64(0x100)) >> (np.uint64(8) - i)
+    bit = (byte >> (np.uint64(7) - i)) & np.uint64(1)
+    return (keys >> np.uint64(8) << np.uint64(8))[None, :] | prefix, bit.astype(np.int64)
+
+
+def _grown(keys: np.ndarray, n: np.ndarray) -> tuple[list[Level], np.ndarray, np.ndarray]:
+    """Levels from the deepest up to ``TOP``; each decision's leaf and bit."""
+    nodes, bits = _decisions(keys)
+    distinct, leaf = np.unique(nodes.ravel(), return_inverse=True)
+    each, bit = np.tile(n.astype(np.float64), 8), bits.ravel()
+    ones = np.bincount(leaf, each * bit, len(distinct))
+    zeros = np.bincount(leaf, each * (1 - bit), len(distinct))
+    levels = [Level(distinct, zeros, ones, log_kt(zeros, ones), np.ones(len(distinct)))]
+    for depth in range(DEPTH, TOP, -1):
+        levels.append(levels[-1].parents(depth))
+    return levels, leaf.reshape(nodes.shape), bits
+
+
+def _crown(tops: pd.DataFrame) -> pd.DataFrame:
+    """From the nodes at depth ``TOP`` to the root and back: ``node, mixed, rest, above``."""
+    columns = (tops[c].to_numpy(np.float64) for c in ("zeros", "ones", "lw", "stay"))
+    levels = [Level(tops["node"].to_numpy(np.int64).view(np.uint64), *columns)]
+    for depth in range(TOP, 0, -1):
+        levels.append(levels[-1].parents(depth))
+    root = levels[-1]
+    known = root.stay * root.one, 1 - root.stay, root.one
+    for level in levels[-2:0:-1]:
+        known = level.mixtures(*(x[level.up] for x in known))
+    mixed, rest, above = (x[levels[0].up] for x in known)
+    return pd.DataFrame({"node": tops["node"], "mixed": mixed, "rest": rest, "above": above})
+
+
+def byte_code_lengths(contexts: DataFrame) -> DataFrame:
     """``key, log10``: the log10 probability of each context's next byte.
 
-    A node is a context (bytes above the lowest eight bits) with a prefix of the coded
-    byte's bits (the lowest eight, a leading 1 before them).  Sums go up the tree one
-    depth at a time, mixtures come down again; both are joins and sums by node.
+    Contexts with the same ``TOP`` nearest bytes form a group, which grows its subtrees
+    alone.  The tops of all subtrees, at most 255 for each of the 65,536 pairs of bytes,
+    go through the root on the driver; each group then mixes its paths downward.  A
+    group's size hangs on how many different contexts there are, not on how often they
+    occur.
     """
-    byte = F.col("key").bitwiseAND(0xFF)
-    decisions = [
-        F.struct(
-            F.shiftright((byte.bitwiseOR(0x100)), 8 - i).alias("prefix"),
-            F.shiftright(byte, 7 - i).bitwiseAND(1).alias("bit"),
-        )
-        for i in range(8)
-    ]
-    split = contexts.select("key", "n", F.inline(F.array(*decisions)))
-    node = F.shiftleft(F.shiftrightunsigned("key", 8), 8).bitwiseOR(F.col("prefix"))
-    decided = split.select("key", "n", node.alias("node"), "bit")
-    deepest = decided.groupBy("node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).cast("double").alias("zeros"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).cast("double").alias("ones"),
-    )
-    leaves = deepest.withColumns({"lw": _kt(F.col("zeros"), F.col("ones")), "stay": F.lit(1.0)})
-    levels = [store(leaves, "nodes")]
-
-    def parent(at: int) -> Column:
-        # Of ``at`` context bytes the farthest lies above the others.
-        return F.col("node").bitwiseAND(F.lit((1 << (8 * at)) - 1))
-
-    half = math.log(2.0)
-    for at in range(depth, 0, -1):
-        below = levels[-1].withColumn("node", parent(at))
-        summed = below.groupBy("node").agg(
-            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("lw").alias("split")
-        )
-        own = _kt(F.col("zeros"), F.col("ones"))
-        mixed = summed.withColumn("own", own).withColumn("lw", _log_add(F.col("own"), F.col("split")) - F.lit(half))
-        weighed = mixed.withColumn("stay", F.exp(F.col("own") - F.lit(half) - F.col("lw")))
-        levels.append(store(weighed.select("node", "zeros", "ones", "lw", "stay"), "nodes"))
-
-    one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
-    seen = (F.col("zeros") + F.col("ones")) > 0
-    # mixed: what shallower depths add; rest: the weight that is left for deeper ones.
-    known = levels[-1].select(
-        "node", (F.col("stay") * one).alias("mixed"), (1 - F.col("stay")).alias("rest"), one.alias("p")
-    )
-    for at in range(1, depth + 1):
-        upper = known.select(F.col("node").alias("up"), F.col("mixed").alias("m"), F.col("rest").alias("r"), F.col("p").alias("above"))
-        met = levels[depth - at].withColumn("up", parent(at)).join(upper, "up")
-        known = met.select(
-            "node",
-            (F.col("m") + F.col("r") * F.col("stay") * one).alias("mixed"),
-            (F.col("r") * (1 - F.col("stay"))).alias("rest"),
-            F.when(seen, F.col("m") + F.col("r") * one).otherwise(F.col("above")).alias("p"),
+    grouped = contexts.withColumn("near", F.shiftrightunsigned("key", 8).bitwiseAND((1 << (8 * TOP)) - 1))
+
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        keys = group["key"].to_numpy(np.int64).view(np.uint64)
+        top = _grown(keys, group["n"].to_numpy())[0][-1]
+        return pd.DataFrame(
+            {"node": top.nodes.view(np.int64), "zeros": top.zeros, "ones": top.ones, "lw": top.log_weighted, "stay": top.stay}
         )
-        known = store(known, "mixtures")
-    chance = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
-    return decided.join(known, "node").groupBy("key").agg(
-        (F.sum(F.log(chance)) / F.lit(LN10)).alias("log10")
+
+    tops = grouped.groupBy("near").applyInPandas(
+        grow, "node long, zeros double, ones double, lw double, stay double"
+    ).toPandas()
+    crown = _crown(tops.sort_values("node", ignore_index=True))
+    order = np.argsort(crown["node"].to_numpy())
+    shared = contexts.sparkSession.sparkContext.broadcast(
+        [crown[c].to_numpy()[order] for c in ("node", "mixed", "rest", "above")]
     )
 
+    def mix(group: pd.DataFrame) -> pd.DataFrame:
+        keys = group["key"].to_numpy(np.int64).view(np.uint64)
+        levels, leaf, bits = _grown(keys, group["n"].to_numpy())
+        node, *known = shared.value
+        at = np.searchsorted(node, levels[-1].nodes.view(np.int64))
+        top = levels[-1]
+        # The top's own weight comes in here, with what lies above it.
+        values = top.mixtures(*(x[at] for x in known))
+        for level in levels[-2::-1]:
+            values = level.mixtures(*(x[level.up] for x in values))
+        one = values[2][leaf]
+        chance = np.where(bits == 1, one, 1 - one)
+        return pd.DataFrame({"key": group["key"], "log10": np.log10(chance).sum(0)})
+
+    return grouped.groupBy("near").applyInPandas(mix, "key long, log10 double")
+
 
 def _training_texts(rows: DataFrame) -> dict[int, int]:
     """The number of training texts of each class."""
@@ -231,13 +290,19 @@ def word_scores(units: DataFrame, contexts: DataFrame, lengths: DataFrame) -> Da
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, values = shared.value
         for batch in batches:
-            ready, rest = [], []
-            for word, cls in zip(batch["word"], batch["cls"], strict=True):
-                keys = context_keys(word, cls).view(np.int64)
-                at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
-                there = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-                ready.append(float(values[at[there]].sum()) if there.any() else 0.0)
-                rest.append(keys[~there])
+            if not len(batch):
+                continue
+            keys, lengths = context_keys(batch["word"], batch["cls"])
+            keys = keys.view(np.int64)
+            at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+            there = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+            found = np.zeros(len(keys))
+            found[there] = values[at[there]]
+            starts = np.cumsum(lengths) - lengths
+            ready = np.add.reduceat(found, starts)
+            owner = np.repeat(np.arange(len(lengths)), lengths)[~there]
+            bounds = np.searchsorted(owner, np.arange(1, len(lengths)))
+            rest = np.split(keys[~there], bounds)
             yield pd.DataFrame({"uid": batch["uid"], "ready": ready, "rest": rest})
 
     spelled = units.select("uid", "cls", "word").mapInPandas(spell, "uid long, ready double, rest array<long>")
@@ -270,6 +335,7 @@ def score_texts(
     decision has probability 1/2.  An empty table gives an empty one; other columns are
     not read.
     """
+    bound_batches(df.sparkSession, 2048)
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), train.alias("train"))
     units = store(word_counts(rows).withColumn("uid", F.monotonically_increasing_id()), "units")
     totals = store(units.groupBy("word").agg(F.sum("n_train").alias("c")), "words")
