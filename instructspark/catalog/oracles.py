@@ -293,6 +293,10 @@ def _rewritten(text: str, ref: str) -> str:
     return f"CASE WHEN {_skip(text, ref)} THEN {text} ELSE {result} END"
 
 
+_ALL_REWRITTEN = ", ".join(
+    f"{_rewritten(f'coalesce({t}, {_text("")})', f'coalesce({r}, {_text("")})')} AS {t}_improved"
+    for t, r in fixed.COLUMN_PAIRS
+)
 REWARDS = list(fixed.REWARD_WEIGHTS)
 _template = "|| ".join(
     {"{text}": "text", "{reference}": "ref_text"}.get(piece, _text(piece))
@@ -379,12 +383,14 @@ ORACLES: dict[str, str] = {
     ),
     "improve_generated": _from(
         "inst",
-        f"SELECT {SIX}, "
-        + ", ".join(
-            f"{_rewritten(f'coalesce({t}, {_text("")})', f'coalesce({r}, {_text("")})')} AS {t}_improved"
-            for t, r in fixed.COLUMN_PAIRS
-        )
-        + " FROM inst",
+        f"SELECT {SIX}, {_ALL_REWRITTEN} FROM inst",
+    ),
+    "standard_chain": _from(
+        "inst",
+        f"""SELECT *, 1::INTEGER AS messages, 'user' AS role,
+            {_content('instruction_improved', 'input_improved')} AS content,
+            {_task_type('instruction_en')} AS task_type
+        FROM (SELECT {SIX}, {_ALL_REWRITTEN} FROM inst)""",
     ),
     "resume_changed_text": _from(
         "pairs",
@@ -432,6 +438,14 @@ ORACLES: dict[str, str] = {
         md5(text) AS digest FROM documents""",
     "documents_report": f"""WITH prepared AS (
         SELECT text AS content, {_task_type('text')} AS task_type FROM documents) {_report}""",
+    "invalid_report": _from(
+        "inst",
+        f"""SELECT count(*) AS total_rows, count(*) FILTER (row_id % 3 = 0 AND {_blank('input')}
+            OR row_id % 3 <> 0 AND {_blank('instruction')} AND {_blank('input')}) AS empty_prompts,
+        (SELECT string_agg(task_type || '=' || n, ',' ORDER BY task_type) FROM (
+            SELECT {_task_type('instruction_en')} AS task_type, count(*) AS n FROM inst GROUP BY 1)) AS task_types,
+        'output_improved' AS missing, false AS is_valid FROM inst""",
+    ),
     "change_stats": _from("improved", _changed),
     "polish_change_rate": _from(
         "polished",
@@ -481,6 +495,17 @@ ORACLES: dict[str, str] = {
         """SELECT prompt_id, completion_id,
         round(total - avg(total) OVER (PARTITION BY prompt_id), 6) AS advantage FROM totals""",
     ),
+    "own_reward_scaled": _from(
+        "paired",
+        f"""SELECT prompt_id, completion_id, accuracy, brief, total, round(
+            (total - avg(total) OVER (PARTITION BY prompt_id))
+            / (stddev_pop(total) OVER (PARTITION BY prompt_id) + 0.0001::DOUBLE), 5) AS advantage
+        FROM (SELECT *, 0.5::DOUBLE * accuracy + 0.5::DOUBLE * brief AS total FROM (
+            SELECT prompt_id, completion_id, {_accuracy('said', 'output_improved', 'task_type')} AS accuracy,
+                (length(said) < 300)::INTEGER::DOUBLE AS brief
+            FROM (SELECT *, CASE WHEN completion_id % 4 = 0 THEN 'Svar: ' || output_improved
+                ELSE completion END AS said FROM paired)))""",
+    ),
     "reward_by_task": _from(
         "totals",
         "SELECT task_type, count(*) AS n, "

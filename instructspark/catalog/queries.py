@@ -18,6 +18,7 @@ from instructspark.functions.prompts import (
 )
 from instructspark.functions.rewards import (
     DEFAULT_REWARDS,
+    Reward,
     accuracy_reward,
     language_reward,
     length_reward,
@@ -36,6 +37,7 @@ from instructspark.operators.fields import (
 from instructspark.operators.generation import accepted_text, rewrite
 from instructspark.operators.generation import skip_split_counts as count_skips
 from instructspark.operators.validate import reason_counts, with_validated
+from instructspark.plans import chains
 from instructspark.plans.distil import answers_from_responses, polish_from_responses
 from instructspark.plans.improve import improve, improved_from_responses
 from instructspark.plans.prepare import prepare, prepare_distilled
@@ -268,6 +270,15 @@ def improve_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return improved
 
 
+def standard_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Improve with a generator, then prepare, check and publish."""
+    kept = store.ResponseStore(spark, new_path(spark, "responses"))
+    table = materialize(given.instruction_table(spark, sf_dir), "instructions")
+    options = chains.StageOptions(template="{reference}\n\n{text}", parts=2)
+    prepared, _ = chains.standard_chain(table, kept, _shouting, new_path(spark, "chain"), options=options)
+    return _flat_prompt(prepared)
+
+
 def resume_changed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is pending after a first run once every third text has changed.
 
@@ -390,6 +401,14 @@ def documents_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_report(_prepared_documents(spark, sf_dir))
 
 
+def invalid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on a table with blank prompts and a missing column."""
+    table = given.instruction_table(spark, sf_dir)
+    blank = F.when(F.col("row_id") % 3 == 0, F.lit(" \u00a0 ")).otherwise(F.col("instruction"))
+    improved = table.withColumns({"instruction_improved": blank, "input_improved": F.col("input")})
+    return _flat_report(prepare(improved.drop("output")))
+
+
 def change_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.change_stats(_improved(spark, sf_dir))
 
@@ -475,6 +494,22 @@ def group_advantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def own_reward_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and a reward of the user's own, ranked in units of the group's deviation.
+
+    Every fourth completion holds its reference.
+    """
+    paired = _paired(spark, sf_dir)
+    holding = F.concat(F.lit("Svar: "), F.col("output_improved"))
+    said = F.when(F.col("completion_id") % 4 == 0, holding).otherwise(F.col("completion"))
+    brief = Reward("brief", 0.5, lambda completion: (F.length(completion) < 300).cast("double"))
+    accuracy = Reward("accuracy", 0.5, accuracy_reward)
+    scored = scoring.score(paired.withColumn("completion", said), [accuracy, brief])
+    names = ["prompt_id", "completion_id", "accuracy", "brief", "total"]
+    ranked = scoring.group_advantage(materialize(scored.select(*names), "scored"), scale=True)
+    return ranked.withColumn("advantage", F.round("advantage", 5))
+
+
 def reward_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = scoring.reward_by_task(_scored(spark, sf_dir))
     means = [F.round(name, 6).alias(name) for name in summary.columns if name.startswith("avg_")]
@@ -530,6 +565,7 @@ QUERIES: dict[str, Query] = {
     "improved_gathered": improved_gathered,
     "generate_batches": generate_batches,
     "improve_generated": improve_generated,
+    "standard_chain": standard_chain,
     "resume_changed_text": resume_changed_text,
     "validate_response": validate_responses,
     "validate_documents": validate_documents,
@@ -544,6 +580,7 @@ QUERIES: dict[str, Query] = {
     "validation_report": validation_report,
     "prepare_documents": prepare_documents,
     "documents_report": documents_report,
+    "invalid_report": invalid_report,
     "change_stats": change_stats,
     "polish_change_rate": polish_change_rate,
     "distill_generate_replay": distil_generate_replay,
@@ -557,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "semantic_reward": semantic_rewards,
     "weighted_reward": weighted_reward,
     "group_advantage": group_advantage,
+    "own_reward_scaled": own_reward_scaled,
     "reward_by_task": reward_by_task,
     "incremental_validate": incremental_validate,
 }

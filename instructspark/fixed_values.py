@@ -28,7 +28,7 @@ PREPARED_REQUIRED = [
 
 # What each stage needs before it can start.
 PREPARE_INPUTS = ["instruction_improved", "input_improved", "output_improved", "instruction_en"]
-SCORE_INPUTS = ["prompt", "task_type", "output_improved"]
+SCORE_INPUTS = ["task_type", "output_improved"]
 
 # --- Skip rule -------------------------------------------------------------
 

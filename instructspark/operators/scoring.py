@@ -31,6 +31,21 @@ def completion_text(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string")
 
 
+class RepeatedPromptsError(ValueError):
+    """A reference table has several rows for a prompt."""
+
+
+def require_unique(references: DataFrame, key: str = "prompt_id") -> DataFrame:
+    """The references themselves, or an error: a repeated prompt would repeat completions.
+
+    One aggregation, of which a single row reaches the driver.
+    """
+    repeated = references.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1).first()
+    if repeated is not None:
+        raise RepeatedPromptsError(f"{key} {repeated[key]} has {repeated['n']} references")
+    return references
+
+
 def pair_completions(
     completions: DataFrame,
     references: DataFrame,

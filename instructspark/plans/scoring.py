@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from instructspark.fixed_values import SCORE_INPUTS
 from instructspark.functions.rewards import DEFAULT_REWARDS, Reward
 from instructspark.operators.encoding import EncoderFactory, embed
-from instructspark.operators.scoring import group_advantage, pair_completions, score
+from instructspark.operators.fields import require_columns
+from instructspark.operators.scoring import group_advantage, pair_completions, require_unique, score
 from instructspark.sources.tables import read_stage, write_stage
 
 
@@ -26,6 +28,7 @@ def score_completions(
     each completion after, when hot prompts are spread out.  Without one the
     embedding columns must be there already.
     """
+    require_columns(references, ["prompt_id", *SCORE_INPUTS])
     if encoder is not None:
         references = embed(references, "output_improved", "reference_embedding", encoder)
     paired = pair_completions(completions, references)
@@ -42,7 +45,11 @@ def score_and_rank(
     rewards: Sequence[Reward] = DEFAULT_REWARDS,
     scale: bool = False,
 ) -> DataFrame:
-    """Scores, writes the narrow scores, and adds the advantage within each prompt."""
+    """Scores, writes the narrow scores, and adds the advantage within each prompt.
+
+    Raises before anything is written if a prompt has several references.
+    """
+    require_unique(references)
     scored = score_completions(completions, references, encoder, rewards)
     names = ["prompt_id", "completion_id", "task_type", *[r.name for r in rewards], "total"]
     write_stage(scored.select(*names), path)

@@ -3,6 +3,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from instructspark.operators.fields import MissingColumnsError
+from instructspark.operators.scoring import RepeatedPromptsError
 from instructspark.operators.encoding import embed
 from instructspark.plans.scoring import score_and_rank, score_completions
 
@@ -80,3 +82,13 @@ def test_score_and_rank(tables, tmp_path):
     assert all(abs(r.s) < 1e-9 for r in sums)
     assert ranked.columns == [
         "prompt_id", "completion_id", "task_type", "semantic", "language", "length", "accuracy", "total", "advantage"]
+
+
+def test_repeated_references_are_refused(spark, tables, tmp_path):
+    completions, references = tables
+    twice = references.unionByName(references.limit(1))
+    with pytest.raises(RepeatedPromptsError, match="2 references"):
+        score_and_rank(completions, twice, str(tmp_path / "scores"), letter_encoder)
+    assert not (tmp_path / "scores").exists()
+    with pytest.raises(MissingColumnsError, match="task_type"):
+        score_completions(completions, references.drop("task_type"), letter_encoder)

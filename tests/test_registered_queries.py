@@ -29,7 +29,7 @@ UNWANTED = [
 
 
 # Queries that run a Python generator.
-GENERATING = {"generate_batches", "improve_generated", "resume_changed_text"}
+GENERATING = {"generate_batches", "improve_generated", "resume_changed_text", "standard_chain"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
