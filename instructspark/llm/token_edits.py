@@ -21,7 +21,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import replacing
+from instructspark.llm.common import bound_batches, replacing
 
 # The public byte-level BPE pattern: contractions, words, numbers, marks, white space.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -223,6 +223,7 @@ def token_trees(df: DataFrame, vocabulary: bytes, text: str = "text", pattern: s
 
     NULL and empty texts have no leaves.  A column named ``output`` is replaced.
     """
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("chars array<int>, tokens array<int>")
@@ -257,6 +258,7 @@ def apply_edits(
     A NULL text is empty, a NULL tree is cut from the text, NULL edits are none.  Rows
     are independent, repeated ones too; input columns named like a result are replaced.
     """
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf(
