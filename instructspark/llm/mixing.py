@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from instructspark.llm.common import replacing, store
@@ -168,28 +168,35 @@ def source_targets(
 RESULTS = ["size", "source_size", "target", "copies", "taken"]
 
 
-def mix(
-    df: DataFrame,
-    key: str = "doc_id",
-    source: str = "source",
-    text: str = "text",
-    weights: Sequence[float] = WEIGHTS,
-    total_share: float = TOTAL_SHARE,
-    most_repeats: int = MOST_REPEATS,
-    group: int = GROUP,
-    seed: int = SEED,
-) -> DataFrame:
+def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """One row per document: ``key, source, size, source_size, target, copies, taken``.
 
     ``taken`` is ``copies * size`` words; copies are at most ``most_repeats``.  The
     words taken from a source differ from its target by half of its last fractional
-    document at most.  The result hangs on keys, sizes, sources and the seed, so reruns agree.
+    document at most.  The result hangs on keys, sizes, sources and the seed, so reruns
+    agree.  Options are those of ``numbered_mix``.
 
     NULL text has size 0.  NULL is a source of its own, NULL a key like others.  Rows
     with equal key, source and size, be they many, share copies evenly: one gets a
     copy more than another at most.  Documents of size 0 get the whole part.  An empty
     table gives an empty one.  Other columns are not read.
     """
+    return numbered_mix(df, key, source, text, **options).select(key, source, *RESULTS)
+
+
+def numbered_mix(
+    df: DataFrame,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: Sequence[float] = WEIGHTS,
+    total_share: float = TOTAL_SHARE,
+    most_repeats: int = MOST_REPEATS,
+    group: int = GROUP,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix with ``rows``, how many rows have a document's key, source and size, and the
+    document's ``number`` among them, from 1."""
     if group < 2:
         raise ValueError("a group must have two documents at least")
     rows = df.select(
@@ -262,14 +269,38 @@ def mix(
     total = (F.floor("rate") + extra).cast("long")
     return spread.select(
         F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target",
-        total.alias("copies"), (total * F.col("size")).alias("taken"),
+        total.alias("copies"), (total * F.col("size")).alias("taken"), "rows", "number",
     )
 
 
-def mixed_documents(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents with ``copies`` and ``taken``; keys must be unique and not NULL.
+def mixed_documents(
+    df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options
+) -> DataFrame:
+    """The documents with ``copies`` and ``taken``; those that the mix does not take stay out.
 
-    Documents that the mix does not take stay out.
+    Documents meet their copies by key, source and size.  Rows that are equal in these
+    are numbered first, in a window over such rows alone.
     """
-    taken = mix(df, key, **options).where(F.col("copies") > 0).select(key, "copies", "taken")
-    return replacing(df, ["copies", "taken"]).join(taken, key)
+    mixed = store(numbered_mix(df, key, source, text, **options), "mix")
+    taken = mixed.select(
+        F.col(key).alias("_k"), F.col(source).alias("_s"), F.col("size").alias("_z"),
+        F.col("rows").alias("_rows"), F.col("number").alias("_n"), "copies", "taken",
+    )
+    given = replacing(df, ["copies", "taken"])
+    columns = [F.col(f"`{c}`") for c in given.columns]
+    sized = given.withColumn("_size", word_count(F.col(f"`{text}`")))
+    same = (
+        F.col(f"`{key}`").eqNullSafe(F.col("_k"))
+        & F.col(f"`{source}`").eqNullSafe(F.col("_s"))
+        & (F.col("_size") == F.col("_z"))
+    )
+    alone = sized.join(taken.where((F.col("_rows") == 1) & (F.col("copies") > 0)), same)
+    repeated = taken.where(F.col("_rows") > 1)
+    ids = repeated.where(F.col("_n") == 1).select("_k", "_s", "_z")
+    numbers = Window.partitionBy(key, source, "_size").orderBy(F.xxhash64(F.col(f"`{text}`")))
+    numbered = sized.join(ids, same, "left_semi").withColumn("_number", F.row_number().over(numbers))
+    several = numbered.join(
+        repeated.where(F.col("copies") > 0), same & (F.col("_number") == F.col("_n"))
+    )
+    chosen = [*columns, "copies", "taken"]
+    return alone.select(*chosen).unionByName(several.select(*chosen))

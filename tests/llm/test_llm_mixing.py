@@ -78,16 +78,16 @@ def test_expectation_is_kept(spark):
     """Over many seeds each document is taken about target / size times."""
     rows = [(i, "a" if i < 12 else "b", " ".join(["w"] * (1 + i % 5 * 7)), "") for i in range(60)]
     total = defaultdict(int)
-    for seed in range(30):
+    for seed in range(10):
         for r in collected(spark, rows, seed=seed, group=4):
             total[r["doc_id"]] += r["copies"]
     got = collected(spark, rows)
     for source in ("a", "b"):
         own = [r for r in got if r["source"] == source]
         rate = own[0]["target"] / own[0]["source_size"]
-        mean = sum(total[r["doc_id"]] for r in own) / 30 / len(own)
-        assert mean == pytest.approx(rate, abs=0.12)
-        assert all(abs(total[r["doc_id"]] / 30 - rate) < 0.45 for r in own)
+        mean = sum(total[r["doc_id"]] for r in own) / 10 / len(own)
+        assert mean == pytest.approx(rate, abs=0.2)
+        assert all(abs(total[r["doc_id"]] / 10 - rate) < 0.7 for r in own)
 
 
 def test_edges(spark):
@@ -99,8 +99,15 @@ def test_edges(spark):
 
 
 def test_mixed_documents_and_native_plan(spark, rows):
-    df = spark.createDataFrame([r for r in rows if r[0] is not None and r[0] < 5000], "doc_id long, source string, text string, copies string")
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, copies string")
     mixed = mixed_documents(df)
+    want = [r for r in collected(spark, rows) if r["copies"]]
+    got = [r.asDict() for r in mixed.collect()]
+
+    def facts(r):
+        return repr((r["doc_id"], r["source"], r["copies"], r["taken"]))
+
+    assert sorted(map(facts, got)) == sorted(map(facts, want))
     assert mixed.columns == ["doc_id", "source", "text", "copies", "taken"]
     assert mixed.where("copies < 1").count() == 0
     assert "Python" not in mix(df)._jdf.queryExecution().toString()
