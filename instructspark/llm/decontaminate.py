@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import replacing, store
+from instructspark.llm.common import bound_batches, replacing, store
 
 WINDOW = 13
 
@@ -87,6 +87,7 @@ _built: dict[int, WindowAutomaton] = {}
 
 
 def _scan_block(df: DataFrame, items: Sequence[tuple[str, str]], text: str, window: int) -> DataFrame:
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(list(items))
     number = shared.id if hasattr(shared, "id") else id(shared)
 

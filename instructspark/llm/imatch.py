@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from instructspark.llm.common import count_threshold, store, words_of
+from instructspark.llm.common import bound_batches, count_threshold, store, words_of
 
 SUBSETS = 32
 LEVELS = 24
@@ -146,6 +146,7 @@ def build_lexicon(
     lower edge, whatever the number of documents.  Should these be more than
     ``most_terms``, the lower edge rises until they fit.
     """
+    bound_batches(df.sparkSession)
     total = df.count()
     # In a few documents every term is frequent; the band starts at two documents.
     inside = F.col("df").between(max(2.0, total * least_share), max(2.0, total * most_share))
@@ -172,6 +173,7 @@ def add_fingerprint(df: DataFrame, lexicon: np.ndarray, text: str, output: str)
 
     NULL counts as empty text, which has an empty fingerprint.
     """
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
 
     @F.pandas_udf("string")
@@ -228,6 +230,7 @@ def compare_edited(
     empty table gives an empty one; other columns are not read.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType

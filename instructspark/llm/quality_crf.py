@@ -17,7 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import fit_logistic, labelled_sample, replacing, sigmoid
+from instructspark.llm.common import (
+    bound_batches,
+    fit_logistic,
+    labelled_sample,
+    replacing,
+    sigmoid,
+)
 
 # Bound of the training sample, in documents of each label.
 MOST_PER_LABEL = 3000
@@ -230,6 +236,7 @@ def score_quality(df: DataFrame, field: LineField, text: str = "text", output: s
     texts get equal scores; a column named ``output`` is replaced; an empty table gives
     an empty one.
     """
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(field)
 
     @F.pandas_udf("double")
@@ -243,6 +250,7 @@ def score_quality(df: DataFrame, field: LineField, text: str = "text", output: s
 
 def label_lines(df: DataFrame, field: LineField, text: str = "text", output: str = "lines_good") -> DataFrame:
     """Adds each line's probability of being good, in order."""
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(field)
 
     @F.pandas_udf("array<double>")
