@@ -8,7 +8,8 @@ greater register.  Two sets agree in a register about as often as they are simil
 Equal sets are one node.  Registers form bands; nodes that agree in a band are compared:
 first with one node of the band's bucket, later across the components found so far,
 until no bucket holds two components that have not been compared.  Pairs pass a joint
-likelihood estimate of their similarity, then are verified on full sets.
+likelihood estimate of their similarity, then are verified on full sets.  What is left
+of large buckets is compared tile by tile inside tasks, which give out links only.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import store, words_of
+from instructspark.llm.common import bound_batches, store, words_of
 from instructspark.llm.components import connected_components
 from instructspark.operators.skew import lookup_join
 
@@ -36,6 +37,10 @@ TOP = (1 << 16) - 1
 # Buckets are searched by one node each in this many rounds before all pairs are compared.
 STAR_ROUNDS = 3
 
+# What is left of a bucket is compared by pairs up to this size, by tiles beyond.
+SMALL_BUCKET = 32
+TILE = 256
+
 # A pair goes on if its estimate is no more than six standard errors too low.
 ERRORS = 6.0
 
@@ -264,6 +269,64 @@ def _all_pairs(members: DataFrame, nodes: DataFrame, options: Options) -> DataFr
     return left.join(right, condition).select(*_ordered(F.col("a"), F.col("b")))
 
 
+def _intersections(lefts: list[np.ndarray], rights: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each left set, the sizes of its intersections with all right sets."""
+    owners = np.repeat(np.arange(len(rights)), [len(r) for r in rights])
+    tokens = np.concatenate(rights)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], owners[order]
+    for left in lefts:
+        start, stop = np.searchsorted(tokens, left, "left"), np.searchsorted(tokens, left, "right")
+        counts = stop - start
+        steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        yield np.bincount(owners[np.repeat(start, counts) + steps], minlength=len(rights))
+
+
+def _tile_links(rows: DataFrame, sets: DataFrame, options: Options) -> DataFrame:
+    """Links between different components in the same bucket, verified on full sets.
+
+    Nodes outside a bucket's largest component meet all of its nodes: both sides are
+    dealt by hash into chunks of about ``TILE``, and each pair of chunks is one group.
+    """
+    percent = options.percent
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates(["minor", "node"])
+        left, right = group[group["minor"]], group[~group["minor"]]
+        found = []
+        if len(left) and len(right):
+            roots, nodes = right["root"].to_numpy(), right["node"].to_numpy()
+            sets_l, sets_r = ([np.frombuffer(x, np.uint64) for x in side["shingles"]] for side in (left, right))
+            sizes = np.array([len(x) for x in sets_r])
+            shared = _intersections(sets_l, sets_r)
+            for node, root, own, both in zip(left["node"], left["root"], sets_l, shared, strict=True):
+                linked = (100 * both >= percent * (len(own) + sizes - both)) & (roots != root)
+                found += [(min(node, n), max(node, n)) for n in nodes[linked]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    per_root = rows.groupBy("band", "root").agg(F.count("*").alias("n"))
+    largest = per_root.groupBy("band").agg(
+        F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("root", "n").alias("major")
+    )
+    chunks = largest.select(
+        "band", "major",
+        F.ceil(F.col("all") / TILE).alias("right"),
+        F.ceil((F.col("all") - F.col("most")) / TILE).alias("left"),
+    )
+    known = rows.join(chunks, "band").join(sets, "node")
+    columns = [F.col(c) for c in ("band", "node", "root", "shingles")]
+
+    def dealt(minor: bool, own: str, other: str) -> DataFrame:
+        chunk = F.pmod(F.xxhash64("node"), F.col(own)).alias(own)
+        others = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
+        return known.where(F.col("root") != F.col("major") if minor else F.lit(True)).select(
+            *columns, F.lit(minor).alias("minor"), chunk, others
+        )
+
+    both = dealt(True, "left", "right").unionByName(dealt(False, "right", "left"))
+    return both.groupBy("band", "left", "right").applyInPandas(compare, "a long, b long").distinct()
+
+
 def _mixed(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, with their root."""
     known = members.drop("root").join(components, "node", "left")
@@ -279,6 +342,7 @@ def near_duplicates(
     shingle: int = 5,
     percent: int = 80,
     star_rounds: int = STAR_ROUNDS,
+    small_bucket: int = SMALL_BUCKET,
 ) -> DataFrame:
     """One row per document: ``key, n_shingles, component_id, kept``.
 
@@ -293,6 +357,7 @@ def near_duplicates(
     its id.  An empty table gives an empty one; other columns are not read.
     """
     options = Options(shingle, percent)
+    bound_batches(df.sparkSession)
     docs = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     sketched = store(_sketched(docs, options), "sketches")
     grouped = (
@@ -312,6 +377,13 @@ def near_duplicates(
         if mixed.isEmpty():
             break
         final = number == star_rounds
+        if final:
+            sizes = mixed.groupBy("band").agg(F.count("*").alias("size"))
+            sized = store(mixed.join(sizes, "band"), "sized")
+            large = F.col("size") > small_bucket
+            tiled = store(_tile_links(sized.where(large).drop("size"), sets, options), "links")
+            links = tiled if links is None else links.unionByName(tiled)
+            mixed = sized.where(~large).drop("size")
         pairs = _all_pairs(mixed, nodes, options) if final else _star_pairs(mixed, number)
         close = store(_estimated(pairs, nodes, options), "pairs")
         found = store(_verified(close, sets, options), "links")
