@@ -26,7 +26,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import fit_logistic, labelled_sample, replacing, sigmoid, words_of
+from instructspark.llm.common import (
+    bound_batches,
+    fit_logistic,
+    labelled_sample,
+    replacing,
+    sigmoid,
+    words_of,
+)
 
 # Bounds of the training sample, in documents, and of the dictionaries.
 MOST_TOXIC = 3000
@@ -73,7 +80,9 @@ class ToxicityModel:
     def _lengths(self, window: bytes) -> tuple[int, int]:
         if not hasattr(self, "_pair"):
             self._tail = self.ordinary[-48:-16]
-            self._pair = _compressor(self.ordinary), _compressor(self.ordinary + self.toxic)
+            # Nor are the last bytes of a dictionary searched.
+            end = b" " * 16
+            self._pair = _compressor(self.ordinary + end), _compressor(self.ordinary + self.toxic + end)
             self._base = [len(c.compress(b" " + self._tail)) for c in self._pair]
         text = b" " + window + b" " + self._tail
         plain, toxic = (len(c.compress(text)) - b for c, b in zip(self._pair, self._base, strict=True))
@@ -177,6 +186,7 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", outp
     the calibration.  Equal texts get equal scores; a column named ``output`` is
     replaced; an empty table gives an empty one.
     """
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
