@@ -14,7 +14,6 @@ import base64
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import regex
 import tiktoken
