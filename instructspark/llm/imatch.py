@@ -198,7 +198,8 @@ def range_starts(df: DataFrame, key: str, parts: int, per_part: int = 100) -> li
     """The first keys, in descending order, of about ``parts`` ranges of similar size.
 
     Picked from a sample of keys that a hash chooses, ``per_part`` per range at most on
-    average; the first range starts with the greatest key.
+    average; the first range starts with the greatest key.  Starts are distinct keys, so
+    there are fewer ranges than ``parts`` where there are fewer keys.
     """
     ids = df.where(F.col(key).isNotNull())
     total = ids.count()
@@ -209,7 +210,7 @@ def range_starts(df: DataFrame, key: str, parts: int, per_part: int = 100) -> li
     sample = [r[0] for r in ids.where(draw < int(share * (1 << 31))).select(key).distinct().collect()]
     top = ids.agg(F.max(key)).first()[0]
     sample = sorted({*sample, top}, reverse=True)
-    return [top, *[sample[len(sample) * i // parts] for i in range(1, parts) if sample[len(sample) * i // parts] < top]]
+    return sorted({sample[len(sample) * i // parts] for i in range(parts)}, reverse=True)
 
 
 def compare_edited(

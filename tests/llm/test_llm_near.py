@@ -154,6 +154,25 @@ def test_comparison_edges(spark):
     assert len(got) == 4 and sum(r.doc_id is None for r in got) == 2
 
 
+@pytest.mark.parametrize("partitions", [5, 200])
+def test_no_row_is_lost_with_fewer_keys_than_partitions(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        for rows in ([(1, "abcdef"), (2, "ghijkl"), (3, "mnopqr")], [(i % 3, f"text {i}") for i in range(9)]):
+            df = spark.createDataFrame(rows, "doc_id long, text string")
+            starts = imatch.range_starts(df, "doc_id", partitions)
+            assert starts == sorted(set(starts), reverse=True) and starts[0] == max(rows)[0]
+            got = imatch.compare_edited(df, imatch.build_lexicon(df)).collect()
+            ordered = sorted(sorted(rows, key=lambda r: r[1]), key=lambda r: -r[0])
+            want = [(k, plain_edit(t, ordered[(i + 1) % len(rows)][1])) for i, (k, t) in enumerate(ordered)]
+            assert sorted((r.doc_id, r.edited_sha256) for r in got) == sorted(
+                (k, hashlib.sha256(t.encode()).hexdigest()) for k, t in want
+            )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_lexicon_is_the_band_of_document_frequencies(spark):
     import xxhash
 
