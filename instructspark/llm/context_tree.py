@@ -2,19 +2,24 @@
 
 A text is coded as its tokens: the bytes of each word, A-Z in lower case, and a space
 after it, then an end byte.  A byte is eight binary decisions; each has a context tree
-whose contexts are the preceding bytes back to the start of the word, ``DEPTH`` at most,
-and before them the text's class.  The class is coded first: it is one of ``CLASSES``
-numbers, hashed from the text's most frequent non-ASCII character, and tells scripts and
-often languages apart.
+whose contexts are the preceding bytes, ``DEPTH`` at most.
 A node estimates by Krichevsky and Trofimov; a node's probability is an even mixture of
 its own estimate and that of its children, over all depths.  After training, a decision's
 probability is the mixture along its path, each depth with its posterior weight; the
 deepest node seen in training stands for what is below it.
 
-Contexts end with the class, so a word's code length is a function of word and class.
-Nodes are trained, and words scored, over the distinct words of the corpus; both sets
-grow with it and are joined, not broadcast.  Only frequent words, of a bounded number,
-are broadcast to the tasks that read texts; all others meet their texts in a join.
+``score_running_texts`` lets contexts run on over spaces into the words before: a byte's
+context is the ``DEPTH`` bytes before it, whatever they are, and no class is coded.
+Contexts are counted in tasks before the shuffle, the tree is trained over the distinct
+ones, and each text sums the code lengths of its bytes.  Only frequent contexts and words,
+of a bounded number, are broadcast; all others meet their texts in a join.
+
+In ``score_texts`` contexts end at the start of the word, before which stands the text's
+class.  The class is coded first: it is one of ``CLASSES`` numbers, hashed from the text's
+most frequent non-ASCII character, and tells scripts and often languages apart.  So a
+word's code length is a function of word and class.  Nodes are trained, and words scored,
+over the distinct words of the corpus; both sets grow with it and are joined, not
+broadcast.
 """
 
 from __future__ import annotations
@@ -220,7 +225,7 @@ def _crown(tops: pd.DataFrame) -> pd.DataFrame:
 
 
 def byte_code_lengths(contexts: DataFrame) -> DataFrame:
-    """``key, log10``: the log10 probability of each context's next byte.
+    """``key, log10, n``: the log10 probability of each context's next byte, and its count.
 
     Contexts with the same ``TOP`` nearest bytes form a group, which grows its subtrees
     alone.  The tops of all subtrees, at most 255 for each of the 65,536 pairs of bytes,
@@ -258,9 +263,9 @@ def byte_code_lengths(contexts: DataFrame) -> DataFrame:
             values = level.mixtures(*(x[level.up] for x in values))
         one = values[2][leaf]
         chance = np.where(bits == 1, one, 1 - one)
-        return pd.DataFrame({"key": group["key"], "log10": np.log10(chance).sum(0)})
+        return pd.DataFrame({"key": group["key"], "log10": np.log10(chance).sum(0), "n": group["n"]})
 
-    return grouped.groupBy("near").applyInPandas(mix, "key long, log10 double")
+    return grouped.groupBy("near").applyInPandas(mix, "key long, log10 double, n long")
 
 
 def _training_texts(rows: DataFrame) -> dict[int, int]:
@@ -411,3 +416,273 @@ def score_texts(
         score.alias("score"),
         (-score / F.lit(math.log10(2.0)) / F.col("n_bytes")).alias("bits_per_byte"),
     )
+
+
+# What stands before a text's first byte.
+_BEFORE = bytes([PAD] * (DEPTH - 1)) + b" "
+# Slots, as a power of two, of the table of frequent contexts in a worker, 16 bytes each.
+SLOT_BITS = 21
+PROBES = 32
+# Coded bytes that are sorted or looked up at a time, and contexts held in a counting task.
+CHUNK_BYTES = 1 << 21
+MOST_HELD = 3_000_000
+
+
+def running_keys(texts: Sequence[Sequence[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """For each coded byte of texts given as words, its context and itself, packed; and how
+    many each text has.
+
+    Packed as in ``context_keys``, with a context that runs over spaces to the text's start.
+    """
+    coded = [b" ".join([*own, bytes([END])]) for own in texts]
+    lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+    data = np.frombuffer(b"".join([_BEFORE + c for c in coded]), np.uint8).astype(np.uint64)
+    keys = data.copy()
+    for back in range(1, DEPTH + 1):
+        keys[back:] |= data[:-back] << np.uint64(8 * back)
+    own = np.ones(len(data), bool)
+    starts = np.cumsum(lengths + DEPTH) - lengths - DEPTH
+    own[(starts[:, None] + np.arange(DEPTH)).ravel()] = False
+    return keys[own], lengths
+
+
+def _chunks(texts: Sequence[Sequence[bytes]]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``CHUNK_BYTES`` each, one text at least."""
+    start, size = 0, 0
+    for i, own in enumerate(texts):
+        size += sum(map(len, own)) + len(own) + 1
+        if size >= CHUNK_BYTES:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their sums, for sorted keys."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def running_contexts(rows: DataFrame) -> DataFrame:
+    """``key, n``: each context with its next byte in any text, and how often it occurs in
+    training."""
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, n = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(keys, kind="stable")
+            return _summed(keys[order], n[order])
+
+        def handed(keys: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+            for i in range(0, len(keys), 100_000):
+                yield pd.DataFrame({"key": keys[i : i + 100_000].view(np.int64), "n": n[i : i + 100_000]})
+
+        def counted(texts: list, flags: list) -> None:
+            keys, lengths = running_keys(texts)
+            # Seven bytes are in use; the lowest bit says whether the text is trained on.
+            keys = keys << np.uint64(1) | np.repeat(np.array(flags, np.uint64), lengths)
+            keys.sort()
+            held.append(_summed(keys >> np.uint64(1), (keys & np.uint64(1)).astype(np.int64)))
+
+        texts: list[list[bytes]] = []
+        flags: list[bool] = []
+        size = 0
+        for batch in batches:
+            for value, trained in zip(batch["text"], batch["train"], strict=True):
+                texts.append(words_of(value))
+                flags.append(bool(trained))
+                size += len(value or "") + 1
+                if size < CHUNK_BYTES:
+                    continue
+                counted(texts, flags)
+                texts, flags, size = [], [], 0
+                if sum(len(k) for k, _ in held) >= MOST_HELD:
+                    held[:] = [merged()]
+                    if len(held[0][0]) >= MOST_HELD // 2:
+                        yield from handed(*held.pop())
+        if texts:
+            counted(texts, flags)
+        if held:
+            yield from handed(*merged())
+
+    found = rows.select("text", "train").mapInPandas(expand, "key long, n long")
+    return found.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+class Slots:
+    """A table from keys to numbers for whole arrays of keys, by hash and linear probes.
+
+    Of keys that want one slot the last gets it; a key that finds none in ``PROBES``
+    probes is not held.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int) -> None:
+        self.bits = bits
+        # No context is all ones.
+        self.none = ~np.uint64(0)
+        self.keys, self.values = np.full(1 << bits, self.none), np.zeros(1 << bits)
+        for probe in range(PROBES):
+            at = self._at(keys, probe)
+            free = self.keys[at] == self.none
+            self.keys[at[free]] = keys[free]
+            got = self.keys[at] == keys
+            self.values[at[got]] = values[got]
+            keys, values = keys[~got], values[~got]
+
+    def _at(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        mixed = (keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(64 - self.bits)).astype(np.int64) + probe) & ((1 << self.bits) - 1)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys' numbers, 0 where they are not held; and the places of those not held."""
+        at = self._at(keys, 0)
+        slot = self.keys[at]
+        found = np.where(slot == keys, self.values[at], 0.0)
+        absent = [np.flatnonzero(slot == self.none)]
+        left = np.flatnonzero((slot != keys) & (slot != self.none))
+        at = at[left]
+        for _ in range(1, PROBES):
+            at = (at + 1) & ((1 << self.bits) - 1)
+            slot, wanted = self.keys[at], keys[left]
+            there, empty = slot == wanted, slot == self.none
+            found[left[there]] = self.values[at[there]]
+            absent.append(left[empty])
+            on = ~there & ~empty
+            left, at = left[on], at[on]
+        return found, np.sort(np.concatenate([*absent, left]))
+
+
+def running_words(rows: DataFrame) -> DataFrame:
+    """``word, n, c``: occurrences of each word over all rows and over training rows."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
+
+        def handed() -> Iterator[pd.DataFrame]:
+            for trained, counter in seen.items():
+                n = np.fromiter(counter.values(), np.int64, len(counter))
+                yield pd.DataFrame({"word": list(counter), "n": n, "c": n * trained})
+                counter.clear()
+
+        for batch in batches:
+            for value, trained in zip(batch["text"], batch["train"], strict=True):
+                seen[bool(trained)].update(words_of(value))
+                if sum(map(len, seen.values())) >= FLUSH:
+                    yield from handed()
+        yield from handed()
+
+    counted = rows.select("text", "train").mapInPandas(count, "word binary, n long, c long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+
+
+def _packed(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, code lengths and the bits of the counts; packed in tasks to spare the driver."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [
+            (b["key"].to_numpy(np.int64), b["log10"].to_numpy(np.float64), np.log2(b["n"].to_numpy(np.float64)).astype(np.uint8))
+            for b in batches
+        ]
+        if got:
+            yield pd.DataFrame([[np.concatenate(x).tobytes() for x in zip(*got)]], columns=["keys", "log10s", "bits"])
+
+    packed = lengths.select("key", "log10", "n").mapInPandas(pack, "keys binary, log10s binary, bits binary").toPandas()
+    kinds = {"keys": np.uint64, "log10s": np.float64, "bits": np.uint8}
+    return tuple(np.frombuffer(b"".join(packed[c]), kind) for c, kind in kinds.items())
+
+
+def score_running_texts(
+    df: DataFrame,
+    train: Column,
+    key: str = "doc_id",
+    text: str = "text",
+    most_words: int = MOST_BROADCAST_WORDS,
+    most_contexts: int = 1 << (SLOT_BITS - 1),
+) -> DataFrame:
+    """As ``score_texts``, with contexts that run over spaces into the words before.
+
+    ``score`` is the log10 probability of the token sequence; no class is coded, and it
+    depends on the order of the words.  NULL, empty, long, repeated and missing rows are
+    treated as there.  ``most_words`` and ``most_contexts`` bound what is broadcast.
+    """
+    bound_batches(df.sparkSession, 2048)
+    spark = df.sparkSession.sparkContext
+    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), train.alias("train"))
+    texts = rows.where("train").count()
+    totals = store(running_words(rows), "words")
+    sums = totals.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    all_tokens, distinct = (sums[0] or 0) + texts, sums[1] + (1 if texts else 0)
+    floor = all_tokens + 0.5 * (distinct + 1)
+    often = totals.where(F.col("n") >= count_threshold(totals, "n", most_words)).select("word", "c").toPandas()
+    words = {bytes(w): (c > 0, math.log10((c + 0.5) / floor)) for w, c in often.itertuples(index=False)}
+    del often
+    base_end = math.log10((texts + 0.5) / floor)
+
+    lengths = store(byte_code_lengths(store(running_contexts(rows), "contexts")), "lengths")
+    known = _packed(lengths.where(F.col("n") >= count_threshold(lengths, "n", most_contexts)))
+    shared = spark.broadcast((words, *known))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, keys, values, size = shared.value
+        # Of keys that want one slot, the most frequent is the last.
+        order = np.argsort(size, kind="stable")
+        slots = Slots(keys[order], values[order], SLOT_BITS)
+
+        def base(own: list[bytes]) -> tuple:
+            n_known, total, rare = int(texts > 0), base_end, []
+            for word, n in Counter(own).items():
+                found = words.get(word)
+                if found is None:
+                    rare.append({"word": word, "times": n})
+                else:
+                    n_known += n * found[0]
+                    total += n * found[1]
+            return len(own) + 1, n_known, total, rare
+
+        for batch in batches:
+            every = [words_of(value) for value in batch["text"]]
+            for start, stop in _chunks(every):
+                keys, sizes = running_keys(every[start:stop])
+                found, left = slots.find(keys)
+                starts = np.cumsum(sizes) - sizes
+                rest = np.split(keys[left].view(np.int64), np.searchsorted(left, starts[1:]))
+                done = pd.DataFrame(
+                    [base(own) for own in every[start:stop]], columns=["n_tokens", "known", "base", "rare"]
+                )
+                done.insert(0, "row", batch["row"].to_numpy()[start:stop])
+                done.insert(1, "key", batch["key"].to_numpy()[start:stop])
+                done["n_bytes"], done["part"], done["rest"] = sizes, np.add.reduceat(found, starts), rest
+                yield done
+
+    kind = rows.schema["key"].dataType.simpleString()
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "key", "text")
+    begun = numbered.mapInPandas(
+        read,
+        f"row long, key {kind}, n_tokens long, known long, base double, rare array<struct<word:binary,times:long>>,"
+        " n_bytes long, part double, rest array<long>",
+    )
+    begun = store(begun, "begun")
+    count = F.col("c")
+    met = begun.select("row", F.inline("rare")).join(totals, "word")
+    more = met.groupBy("row").agg(
+        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("times") * F.log10((count + 0.5) / F.lit(floor))).alias("more_base"),
+    )
+    rest = begun.select("row", F.explode("rest").alias("context"))
+    rest = rest.join(lengths.select(F.col("key").alias("context"), "log10"), "context")
+    rest = rest.groupBy("row").agg(F.sum("log10").alias("more_score"))
+    nothing = F.lit(0)
+    score = F.col("part") + F.coalesce("more_score", nothing)
+    return begun.drop("rare", "rest").join(more, "row", "left").join(rest, "row", "left").select(
+        F.col("key").alias(key),
+        "n_tokens",
+        (F.col("known") + F.coalesce("more_known", nothing)).alias("n_known"),
+        "n_bytes",
+        F.lit(all_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("more_base", nothing)).alias("base_score"),
+        score.alias("score"),
+        (-score / F.lit(math.log10(2.0)) / F.col("n_bytes")).alias("bits_per_byte"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instructspark.llm.common import crc_remainder, read_table
-from instructspark.llm.context_tree import score_texts
+from instructspark.llm.context_tree import score_running_texts
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.imatch import build_lexicon, compare_edited
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
@@ -56,7 +56,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = crc_remainder(F.col("doc_id"), 5) == 1
-    return score_texts(docs, ~held_out).select(
+    return score_running_texts(docs, ~held_out).select(
         "doc_id",
         held_out.alias("held_out"),
         "n_tokens",

@@ -231,6 +231,90 @@ def test_tree_scores_of_nothing(spark):
     assert row.score == pytest.approx(-32 * math.log10(2) - math.log10(context_tree.CLASSES))
 
 
+def plain_running_scores(texts, train):
+    """Context trees over the running bytes of each text, by plain dictionaries."""
+    depth = context_tree.DEPTH
+
+    def decisions(text):
+        data = [*[0] * (depth - 1), 0x20, *b"".join(w + b" " for w in (text or "").encode().lower().split()), 0xFF]
+        for i in range(depth, len(data)):
+            prefix = 1
+            for k in range(7, -1, -1):
+                yield tuple(data[i - depth : i][::-1]), prefix, data[i] >> k & 1
+                prefix = prefix << 1 | data[i] >> k & 1
+
+    counts, children = defaultdict(lambda: [0, 0]), defaultdict(set)
+    for text, learn in zip(texts, train):
+        for context, prefix, bit in decisions(text):
+            for d in range(depth + 1):
+                counts[context[:d], prefix][bit] += learn
+                if d:
+                    children[context[: d - 1], prefix].add(context[d - 1])
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    weighted = {}
+    for d in range(depth, -1, -1):
+        for context, prefix in [k for k in counts if len(k[0]) == d]:
+            own = kt(*counts[context, prefix])
+            if d < depth:
+                below = sum(weighted[context + (c,), prefix] for c in children[context, prefix])
+                own = math.log(0.5) + np.logaddexp(own, below)
+            weighted[context, prefix] = own
+
+    def chance(context, prefix, bit):
+        mixed, rest, p = 0.0, 1.0, 0.5
+        for d in range(depth + 1):
+            a, b = counts[context[:d], prefix]
+            one = (b + 0.5) / (a + b + 1)
+            if a + b:
+                p = mixed + rest * one
+            stay = 1.0 if d == depth else math.exp(kt(a, b) + math.log(0.5) - weighted[context[:d], prefix])
+            mixed, rest = mixed + rest * stay * one, rest * (1 - stay)
+        return p if bit else 1 - p
+
+    return [sum(math.log10(chance(*x)) for x in decisions(text)) for text in texts]
+
+
+@pytest.mark.parametrize("most,bits", [(1 << 17, 10), (2, 4)])
+def test_running_scores_agree_with_plain_dictionaries(spark, most, bits, monkeypatch):
+    monkeypatch.setattr(context_tree, "CHUNK_BYTES", 30)
+    monkeypatch.setattr(context_tree, "MOST_HELD", 40)
+    monkeypatch.setattr(context_tree, "SLOT_BITS", bits)
+    texts = ["The cat the CAT", "the rat été\nété", None, "", "Ünd der tag und", "x" * 40 + " zz", "the cat the cat"]
+    keys = [0, 1, 2, None, 4, 5, 0]
+    df = spark.createDataFrame(list(zip(keys, texts)), "doc_id long, text string").coalesce(2)
+    train = F.coalesce(F.col("doc_id"), F.lit(0)) % 2 == 0
+    got = context_tree.score_running_texts(df, train, most_words=most, most_contexts=most).collect()
+    learn = [int((k or 0) % 2 == 0) for k in keys]
+    tokens = [(t or "").encode().lower().split() + [None] for t in texts]
+    c = Counter(w for t, y in zip(tokens, learn) if y for w in t)
+    n, v = sum(c.values()), len(c)
+    want = sorted(
+        (k if k is not None else -1, len(t), sum(c[w] > 0 for w in t), n,
+         round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t), 6), round(s, 6))
+        for k, t, s in zip(keys, tokens, plain_running_scores(texts, learn))
+    )
+    found = sorted(
+        (r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+        for r in got
+    )
+    assert found == want
+
+
+def test_score_of_the_query_depends_on_the_order_of_words(spark, tmp_path):
+    from instructspark.llm.queries import QUERIES
+
+    rows = [(i, "in the house the cat sat on a mat") for i in range(40)] + [(100, "a cat house in mat on sat the the")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op3_context_tree"](spark, str(tmp_path)).collect()}
+    assert got[0].n_bytes == got[100].n_bytes and got[0].base_score == pytest.approx(got[100].base_score)
+    assert got[0].score > got[100].score + 1
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert context_tree.score_running_texts(empty, F.lit(True)).count() == 0
+
+
 def test_word_probabilities_sum_to_one():
     """All bytes after a context: their probabilities are a distribution."""
     import pandas as pd
