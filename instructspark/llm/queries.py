@@ -14,10 +14,13 @@ from instructspark.llm.imatch import build_lexicon, compare_edited
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
 from instructspark.llm.mixing import mix
 from instructspark.llm.quality_crf import fit_quality, score_quality
+from instructspark.llm.secrets import find_secrets
 from instructspark.llm.setsketch import near_duplicates
+from instructspark.llm.simplex_kmeans import cluster
 from instructspark.llm.token_edits import apply_edits, load_ranks, token_trees
 from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 from instructspark.llm.url_trie import ALLOW, BLOCK, Rule, filter_urls
+from instructspark.llm.whitening import whiten
 
 # A public vocabulary file on the driver; tasks get its content.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -140,6 +143,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return whiten(vectors, "vec_id", "embedding")
+
+
+def op12_simplex_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return cluster(vectors, "vec_id", "embedding")
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return find_secrets(docs, "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -151,6 +169,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_imatch": op9_imatch,
     "op10_url_filter": op10_url_filter,
+    "op11_whitening": op11_whitening,
+    "op12_simplex_kmeans": op12_simplex_kmeans,
+    "op13_secrets": op13_secrets,
 }
 
 _RULES_SQL = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
