@@ -335,6 +335,11 @@ ORACLES: dict[str, str] = {
     "jsonl_roundtrip": _from("inst", f"SELECT {SIX} FROM inst"),
     "checkpoint_scan": _from("responses", "SELECT row_id, field, response, attempt FROM responses"),
     "response_store_latest": _from("latest", _latest_all),
+    "stage_versions": _from(
+        "improved",
+        "SELECT row_id, instruction AS text, 1 AS version FROM inst "
+        "UNION ALL SELECT row_id, instruction_improved AS text, 2 AS version FROM improved",
+    ),
     "subset_first_n": _from("inst", f"SELECT {SIX} FROM inst ORDER BY row_id LIMIT 100"),
     "field_pairs_unpivot": _from("pairs", "SELECT * FROM pairs"),
     "compare_preview": _from(
@@ -434,6 +439,10 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY task_type ORDER BY row_id) = 1""",
     ),
     "validation_report": _from("prepared", _report),
+    "publish_observed": _from(
+        "prepared",
+        f"SELECT r.*, (SELECT count(*) FROM prepared) AS published_rows, 1 AS version FROM ({_report}) AS r",
+    ),
     "prepare_documents": f"""SELECT doc_id, {_task_type('text')} AS task_type,
         md5(text) AS digest FROM documents""",
     "documents_report": f"""WITH prepared AS (

@@ -41,9 +41,10 @@ from instructspark.plans import chains
 from instructspark.plans.distil import answers_from_responses, polish_from_responses
 from instructspark.plans.improve import improve, improved_from_responses
 from instructspark.plans.prepare import prepare, prepare_distilled
+from instructspark.plans.prepare import publish_observed as publish_checked
 from instructspark.plans.resumable import generate_pending
 from instructspark.session import materialize, new_path
-from instructspark.sources import jsonl, store, tables
+from instructspark.sources import jsonl, store, tables, versions
 from instructspark.streaming.incremental import incremental_validate as validate_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +152,16 @@ def checkpoint_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.load_checkpoint(spark, path, rows.schema)
 
 
+def stage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two published versions of one stage table, the first read back pinned after the second."""
+    path = new_path(spark, "versioned")
+    first = versions.publish(given.instruction_table(spark, sf_dir).select("row_id", F.col("instruction").alias("text")), path)
+    second = versions.publish(_improved(spark, sf_dir).select("row_id", F.col("instruction_improved").alias("text")), path)
+    old = versions.read_version(spark, path, first).withColumn("version", F.lit(first))
+    new = versions.read_version(spark, path).withColumn("version", F.lit(second))
+    return old.unionByName(new)
+
+
 def response_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store filled attempt by attempt, read as latest."""
     kept = store.ResponseStore(spark, new_path(spark, "responses"))
@@ -377,6 +388,18 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_report(_prepared(spark, sf_dir))
 
 
+def publish_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepare, write and report in one pass; the report row and what the new version holds."""
+    rows, report, number = publish_checked(_improved(spark, sf_dir), new_path(spark, "published"))
+    labels = ",".join(f"{k}={v}" for k, v in sorted(report["task_type_distribution"].items()))
+    return spark.createDataFrame(
+        [(report["total_rows"], report["empty_prompts"], labels, ",".join(report["missing_columns"]),
+          report["is_valid"], rows.count(), number)],
+        "total_rows long, empty_prompts long, task_types string, missing string, is_valid boolean, "
+        "published_rows long, version int",
+    )
+
+
 def _prepared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = given.documents(spark, sf_dir)
     return prepare(
@@ -549,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "checkpoint_scan": checkpoint_scan,
     "response_store_latest": response_store_latest,
+    "stage_versions": stage_versions,
     "subset_first_n": subset_first_n,
     "field_pairs_unpivot": _pairs,
     "compare_preview": compare_preview,
@@ -578,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "task_distribution_pct": task_distribution_pct,
     "sample_per_task": sample_per_task,
     "validation_report": validation_report,
+    "publish_observed": publish_observed,
     "prepare_documents": prepare_documents,
     "documents_report": documents_report,
     "invalid_report": invalid_report,

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-from instructspark.fixed_values import TASK_KEYWORDS
+from instructspark.fixed_values import OTHER_TASK, PREPARED_REQUIRED, TASK_KEYWORDS
 from instructspark.functions.classification import task_type
 from instructspark.functions.prompts import chat_prompt
-from instructspark.operators.fields import require_columns, swap_reference
+from instructspark.functions.prompts import first_content
+from instructspark.functions.text import is_blank
+from instructspark.operators.fields import missing_columns, require_columns, swap_reference
 from instructspark.operators.reports import validation_report
+from instructspark.sources import versions
 from instructspark.sources.tables import read_stage, write_stage
 
+# Labels outside the rules' names and ``other`` are counted together under this key.
+UNLISTED = "unlisted"
+
 
 class InvalidTableError(RuntimeError):
     """A prepared table failed its checks; ``report`` says why."""
@@ -68,6 +74,57 @@ def prepare_and_publish(df: DataFrame, path: str) -> tuple[DataFrame, Row]:
     return read_stage(df.sparkSession, path), report
 
 
+def _observed(df: DataFrame, labels: Sequence[str]) -> list[Column]:
+    """The report's counts as aggregates that ride along with a write."""
+    label = F.coalesce(F.col("task_type"), F.lit(OTHER_TASK)) if "task_type" in df.columns else F.lit(OTHER_TASK)
+    empty = is_blank(first_content(F.col("prompt"))) if "prompt" in df.columns else F.lit(True)
+    return [
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(empty).alias("empty_prompts"),
+        *[F.count_if(label == F.lit(name)).alias(f"label:{name}") for name in labels],
+        F.count_if(~label.isin(*labels)).alias(f"label:{UNLISTED}"),
+    ]
+
+
+def publish_observed(
+    df: DataFrame,
+    path: str,
+    rules: Mapping[str, Sequence[str]] = TASK_KEYWORDS,
+    required: Sequence[str] = PREPARED_REQUIRED,
+) -> tuple[DataFrame, Row, int]:
+    """Prepares, writes and checks in one pass, then publishes only a valid table.
+
+    The report's counts are observed while the prepared rows are written to an
+    unpublished folder of the versioned table at ``path``; the input is read once.
+    A valid table becomes the next version (returned with its rows and the report);
+    an invalid one is deleted and ``InvalidTableError`` raised, so readers keep the
+    version they had.  The distribution lists labels with rows: one entry per rule
+    name and ``other``, and labels outside them together under ``unlisted``.
+    """
+    prepared = prepare(require_columns(df), rules=rules)
+    labels = [*rules, OTHER_TASK] if OTHER_TASK not in rules else list(rules)
+    observation = Observation("publish")
+    staged = versions.stage(prepared.observe(observation, *_observed(prepared, labels)), path)
+    counts = observation.get
+    missing = missing_columns(prepared, required)
+    distribution = {
+        name: counts[f"label:{name}"] for name in [*labels, UNLISTED] if counts.get(f"label:{name}", 0)
+    }
+    report = Row(
+        total_rows=counts["total_rows"],
+        empty_prompts=counts["empty_prompts"],
+        task_type_distribution=distribution,
+        missing_columns=missing,
+        is_valid=not missing and counts["empty_prompts"] == 0,
+    )
+    spark = df.sparkSession
+    if not report["is_valid"]:
+        versions.discard(spark, staged)
+        raise InvalidTableError(report)
+    number = versions.commit(spark, staged)
+    return versions.read_version(spark, path, number), report, number
+
+
 def prepare_distilled(df: DataFrame) -> DataFrame:
     """Prepares a polished table with the polished answer as the reference."""
     return prepare(swap_reference(df))

@@ -1,0 +1,123 @@
+"""Versioned stage tables and the one-pass observed publish."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from instructspark.operators.reports import validation_report
+from instructspark.plans.prepare import InvalidTableError, prepare, publish_observed
+from instructspark.sources import versions
+
+
+def _rows(spark, n, start=0):
+    return spark.range(start, start + n).select(F.col("id").alias("row_id"), (F.col("id") * 2).alias("v"))
+
+
+def test_versions_publish_and_pin(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert versions.latest_version(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        versions.read_version(spark, path)
+    first = versions.publish(_rows(spark, 5), path)
+    second = versions.publish(_rows(spark, 7, 100), path)
+    assert (first, second) == (1, 2)
+    assert versions.read_version(spark, path, first).count() == 5
+    assert sorted(r.row_id for r in versions.read_version(spark, path).collect()) == list(range(100, 107))
+    with pytest.raises(FileNotFoundError):
+        versions.read_version(spark, path, 9)
+
+
+def test_crash_between_write_and_switch_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.publish(_rows(spark, 3), path)
+    staged = versions.stage(_rows(spark, 50), path)  # the process dies before commit
+    assert versions.latest_version(spark, path) == 1
+    assert versions.read_version(spark, path).count() == 3
+    # A pointer written but never renamed is invisible as well.
+    files = versions._Files(spark, path)
+    files.write(f"{path}/{versions.VERSIONS}/.pending-x", staged.folder)
+    assert versions.versions(spark, path).keys() == {1}
+    dropped = versions.remove_unreferenced(spark, path)
+    assert staged.folder in dropped and f"{versions.VERSIONS}/.pending-x" in dropped
+    assert not os.path.exists(f"{path}/{staged.folder}")
+    assert versions.read_version(spark, path).count() == 3
+
+
+def test_a_taken_number_moves_the_commit_on(spark, tmp_path):
+    path = str(tmp_path / "t")
+    a = versions.stage(_rows(spark, 2), path)
+    b = versions.stage(_rows(spark, 4), path)
+    # Another writer took number 1 between our listing and our rename.
+    files = versions._Files(spark, path)
+    files.write(f"{path}/{versions.VERSIONS}/{1:020d}", b.folder)
+    assert versions.commit(spark, a) == 2
+    assert versions.read_version(spark, path, 1).count() == 4
+    assert versions.read_version(spark, path).count() == 2
+
+
+def test_keep_drops_old_versions_and_their_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2, 3):
+        versions.publish(_rows(spark, n), path)
+    versions.remove_unreferenced(spark, path, keep=1)
+    assert list(versions.versions(spark, path)) == [3]
+    assert len([d for d in os.listdir(path) if d.startswith("data-")]) == 1
+    assert versions.read_version(spark, path).count() == 3
+
+
+def _instructions(spark, n, blank_every=0):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        counted.add(1)
+        return x
+
+    touch = F.udf(seen, "long").asNondeterministic()
+    df = spark.range(n).select(touch("id").alias("row_id"))
+    text = F.concat(F.lit("Write a list of "), F.col("row_id").cast("string"))
+    if blank_every:
+        text = F.when(F.col("row_id") % blank_every == 0, F.lit("  ")).otherwise(text)
+    df = df.select(
+        "row_id",
+        text.alias("instruction_improved"),
+        F.lit("").alias("input_improved"),
+        F.lit("an answer").alias("output_improved"),
+        text.alias("instruction_en"),
+    )
+    return df, counted
+
+
+def test_observed_publish_reads_once_and_reports_like_the_query(spark, tmp_path):
+    df, counted = _instructions(spark, 300)
+    path = str(tmp_path / "prepared")
+    rows, report, number = publish_observed(df, path)
+    assert counted.value == 300  # the input went through once: write and report together
+    assert number == 1 and rows.count() == 300
+    want = validation_report(prepare(_instructions(spark, 300)[0])).first()
+    assert report["total_rows"] == want["total_rows"] and report["empty_prompts"] == 0
+    assert report["task_type_distribution"] == {k: v for k, v in want["task_type_distribution"].items() if v}
+    assert report["is_valid"] and report["missing_columns"] == []
+
+
+def test_invalid_table_leaves_no_target(spark, tmp_path):
+    path = str(tmp_path / "prepared")
+    good, _ = _instructions(spark, 20)
+    publish_observed(good, path)
+    bad, _ = _instructions(spark, 40, blank_every=7)
+    with pytest.raises(InvalidTableError) as raised:
+        publish_observed(bad, path)
+    assert raised.value.report["empty_prompts"] == 6
+    assert versions.latest_version(spark, path) == 1
+    assert versions.read_version(spark, path).count() == 20
+    assert len([d for d in os.listdir(path) if d.startswith("data-")]) == 1
+
+
+def test_labels_outside_the_rules_count_together(spark, tmp_path):
+    df, _ = _instructions(spark, 30)
+    rows, report, _ = publish_observed(df, str(tmp_path / "p"), rules={"extraction": ["list"]})
+    assert report["task_type_distribution"] == {"extraction": 30}
+    _, report, _ = publish_observed(df, str(tmp_path / "q"), rules={"generation": ["write"]})
+    assert sum(report["task_type_distribution"].values()) == 30
