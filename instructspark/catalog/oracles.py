@@ -334,6 +334,9 @@ ORACLES: dict[str, str] = {
     "stage_roundtrip": _from("improved", "SELECT * FROM improved"),
     "jsonl_roundtrip": _from("inst", f"SELECT {SIX} FROM inst"),
     "checkpoint_scan": _from("responses", "SELECT row_id, field, response, attempt FROM responses"),
+    "checkpoint_salvage": _from(
+        "responses", "SELECT row_id, field, response, attempt, 1::BIGINT AS quarantined FROM responses"
+    ),
     "response_store_latest": _from("latest", _latest_all),
     "stage_versions": _from(
         "improved",

@@ -162,6 +162,21 @@ def stage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.unionByName(new)
 
 
+def checkpoint_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends, then a third cut off in the middle of its line; the good rows survive."""
+    path = new_path(spark, "torn")
+    rows = given.responses(spark, sf_dir).select("row_id", "field", "response", "attempt")
+    for attempt in (1, 2):
+        jsonl.save_checkpoint(rows.where(F.col("attempt") == attempt), path)
+    # The writer dies halfway through the line of one row.
+    line = F.to_json(F.struct(*rows.columns))
+    half = F.expr("substring(_line, 1, length(_line) div 2)")
+    torn = rows.orderBy("row_id", "field", "attempt").limit(1).select(line.alias("_line")).select(half.alias("value"))
+    torn.write.mode("append").text(path)
+    found = jsonl.salvage_checkpoint(spark, path, rows.schema, most_broken=1)
+    return found.rows.withColumn("quarantined", F.lit(found.n_broken).cast("long"))
+
+
 def response_store_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store filled attempt by attempt, read as latest."""
     kept = store.ResponseStore(spark, new_path(spark, "responses"))
@@ -571,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "stage_roundtrip": stage_roundtrip,
     "jsonl_roundtrip": jsonl_roundtrip,
     "checkpoint_scan": checkpoint_scan,
+    "checkpoint_salvage": checkpoint_salvage,
     "response_store_latest": response_store_latest,
     "stage_versions": stage_versions,
     "subset_first_n": subset_first_n,
