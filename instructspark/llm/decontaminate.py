@@ -58,7 +58,9 @@ class WindowAutomaton:
             ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in normal_words(text)]
             size = min(window, len(ids))
             for start in range(len(ids) - size + 1 if size else 0):
-                patterns.setdefault(tuple(ids[start : start + size]), set()).add(item)
+                names = patterns.setdefault(tuple(ids[start : start + size]), set())
+                if item is not None:  # an item without an id still hits, but is not named
+                    names.add(item)
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for ids, names in patterns.items():
             self.automaton.add_word(ids, (len(ids), tuple(sorted(names))))
@@ -159,15 +161,16 @@ def decontaminate(
     ``block_bytes``; a larger one is dealt by hash into blocks of about that size
     that are scanned one after the other, each result written before the next.
 
-    NULL text has no words, nor has a NULL item text; a NULL item id is dropped, for
-    it cannot be named.  An empty benchmark hits nothing.  Repeated rows are scanned
+    NULL text has no words, nor has a NULL item text; the windows of an item with a
+    NULL id hit words like all others, but the item is not listed in ``items`` (it
+    cannot be named).  An empty benchmark hits nothing.  Repeated rows are scanned
     alike; input columns named like a result are replaced.
     """
     if window < 1:
         raise ValueError("window must be positive")
     items = benchmark.select(
         F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text")
-    ).where(F.col("item").isNotNull() & F.col("text").isNotNull())
+    ).where(F.col("text").isNotNull())
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()[0]
     blocks = max(1, -(-size // block_bytes))
     scanned = df.withColumn("_text", F.col(f"`{text}`"))

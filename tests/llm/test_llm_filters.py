@@ -93,7 +93,8 @@ def plain_decontamination(text, items, window=13):
         for at in range(len(words) - size + 1 if size else 0):
             if tuple(words[at : at + size]) in windows:
                 hit.update(range(at, at + size))
-                found.add(str(name))
+                if name is not None:
+                    found.add(str(name))
     return len(words), len(hit), sorted(found), hit
 
 
@@ -105,6 +106,7 @@ def decontamination_case():
         return "".join(rng.choice(vocabulary) + rng.choice([" ", "\n", ", ", "-", "  "]) for _ in range(n))
 
     items = [(i, make(rng.choice([1, 3, 5, 6, 9]))) for i in range(25)] + [(100, ""), (101, None), (3, "a a a a a")]
+    items += [(None, "a a a"), (None, "x1 of the B été")]
     docs = [(i, make(rng.randint(0, 60))) for i in range(60)] + [(900, None), (901, ""), (902, "--"), (0, "a été")]
     docs += [(903 + i, "x " + items[i][1] + make(4)) for i in range(10)]
     return docs, items
@@ -115,7 +117,7 @@ def test_decontamination_agrees_with_trying_all_windows(spark, block):
     docs, items = decontamination_case()
     rows = [(n, i, t, "own") for n, (i, t) in enumerate(docs)]
     df = spark.createDataFrame(rows, "nr int, doc_id long, text string, items string")
-    bench = spark.createDataFrame([*items, (None, "a a a")], "item_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate(df, bench, window=5, block_bytes=block)
     by_nr = {r["nr"]: r for r in got.withColumn("bad", is_contaminated()).collect()}
     assert len(by_nr) == len(docs)
@@ -128,6 +130,7 @@ def test_decontamination_agrees_with_trying_all_windows(spark, block):
         words = list(WORD.finditer(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
         inside = {i for i, m in enumerate(words) if any(a <= m.start() and m.end() <= b for a, b in spans)}
         assert inside == hit
+    assert any(plain_decontamination(t, [i for i in items if i[0] is None], 5)[1] for _, t in docs)
     assert decontaminate(df.limit(0), bench).count() == 0
     assert decontaminate(df, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
