@@ -338,6 +338,7 @@ ORACLES: dict[str, str] = {
         "responses", "SELECT row_id, field, response, attempt, 1::BIGINT AS quarantined FROM responses"
     ),
     "response_store_latest": _from("latest", _latest_all),
+    "store_compacted": _from("latest", _latest_all),
     "stage_versions": _from(
         "improved",
         "SELECT row_id, instruction AS text, 1 AS version FROM inst "

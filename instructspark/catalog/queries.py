@@ -45,6 +45,7 @@ from instructspark.plans.prepare import publish_observed as publish_checked
 from instructspark.plans.resumable import generate_pending
 from instructspark.session import materialize, new_path
 from instructspark.sources import jsonl, store, tables, versions
+from instructspark.sources.compaction import CompactedStore
 from instructspark.streaming.incremental import incremental_validate as validate_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +153,16 @@ def checkpoint_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.load_checkpoint(spark, path, rows.schema)
 
 
+def store_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store filled attempt by attempt with a compaction after each, read as latest."""
+    kept = CompactedStore(spark, new_path(spark, "compacted"))
+    rows = materialize(given.responses(spark, sf_dir), "attempts")
+    for attempt in (1, 2):
+        kept.append(rows.where(F.col("attempt") == attempt), "improve", attempt)
+        kept.compact("improve")
+    return kept.latest("improve")
+
+
 def stage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two published versions of one stage table, the first read back pinned after the second."""
     path = new_path(spark, "versioned")
@@ -589,6 +600,7 @@ QUERIES: dict[str, Query] = {
     "checkpoint_salvage": checkpoint_salvage,
     "response_store_latest": response_store_latest,
     "stage_versions": stage_versions,
+    "store_compacted": store_compacted,
     "subset_first_n": subset_first_n,
     "field_pairs_unpivot": _pairs,
     "compare_preview": compare_preview,
