@@ -6,8 +6,9 @@ from the least of an exponentially distributed number per shingle: registers are
 greater register.  Two sets agree in a register about as often as they are similar.
 
 Equal sets are one node.  Registers form bands; nodes that agree in a band are compared:
-first with one node of the band's bucket, later across the components found so far,
-until no bucket holds two components that have not been compared.  Pairs pass a joint
+first with one node of the band's bucket (the same node in all buckets of a family),
+for a few rounds while the bucket's components keep merging, then all components of
+every bucket that still holds two of them.  Pairs pass a joint
 likelihood estimate of their similarity, then are verified on full sets.  What is left
 of large buckets is compared tile by tile inside tasks, which give out links only.
 """
@@ -237,8 +238,13 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 
 
 def _star_pairs(members: DataFrame, number: int) -> DataFrame:
-    """One node of each mixed bucket against the members of other components."""
-    draw = F.xxhash64(F.lit(number), "node", "band")
+    """One node of each mixed bucket against the members of other components.
+
+    The hub is the member with the least draw, and the draw depends on the node
+    alone: a family of nodes that share many buckets has the same hub in all of them,
+    so each member meets few hubs, not one per band.
+    """
+    draw = F.xxhash64(F.lit(number), "node")
     hub = members.groupBy("band").agg(F.min(draw).alias("draw"))
     # The draw names the node again; equal draws of two nodes only add a pair.
     hubs = members.withColumn("draw", draw).join(hub, ["band", "draw"]).select(
@@ -248,6 +254,10 @@ def _star_pairs(members: DataFrame, number: int) -> DataFrame:
     return met.select(*_ordered(F.col("node"), F.col("hub"))).distinct()
 
 
+def _roots_per_band(mixed: DataFrame) -> DataFrame:
+    return mixed.groupBy("band", "root").agg(F.lit(1).alias("_")).groupBy("band").agg(F.count("*").alias("roots"))
+
+
 def _all_pairs(members: DataFrame, nodes: DataFrame, options: Options) -> DataFrame:
     """Every pair of nodes of different components that share a bucket, once.
 
@@ -372,12 +382,17 @@ def near_duplicates(
     sets = _with_sets(members.select("node").distinct(), nodes, docs, options)
     links = None
     mixed = members
+    full = members  # all buckets that hold more than one component
+    set_aside = False
     components = connected_components(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-    for number in range(star_rounds + 1):
-        if mixed.isEmpty():
-            break
-        final = number == star_rounds
+    number = 0
+    while True:
+        final = number >= star_rounds or mixed.isEmpty()
         if final:
+            # Every bucket with two components, also those whose star round found nothing.
+            mixed = full if set_aside else mixed
+            if mixed.isEmpty():
+                break
             sizes = mixed.groupBy("band").agg(F.count("*").alias("size"))
             sized = store(mixed.join(sizes, "band"), "sized")
             large = F.col("size") > small_bucket
@@ -389,8 +404,16 @@ def near_duplicates(
         found = store(_verified(close, sets, options), "links")
         links = found if links is None else links.unionByName(found)
         components = connected_components(links)
-        if not final:
-            mixed = store(_mixed(members, components), "mixed")
+        if final:
+            break
+        # Buckets whose components did not merge in this round wait for the final one.
+        before = _roots_per_band(mixed)
+        full = store(_mixed(members, components), "mixed")
+        after = _roots_per_band(full).withColumnRenamed("roots", "left")
+        moved = before.join(after, "band").where(F.col("left") < F.col("roots")).select("band")
+        mixed = store(full.join(moved, "band", "left_semi"), "mixed")
+        set_aside = True
+        number += 1
     rooted = nodes.select("node", "set_id", "rep").join(components, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
