@@ -13,7 +13,7 @@ from instructspark.llm.common import store
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import drop_boilerplate
 from instructspark.llm.mixing import mixed_documents
-from instructspark.llm.setsketch import MOST_BROADCAST_IDS, near_duplicates
+from instructspark.llm.setsketch import near_duplicates
 from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -42,16 +42,20 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group of near-duplicates, by five-word shingles, 0.8 alike.
+    """One row of each group of near-duplicates, by five-word shingles, 0.8 alike.
 
-    A row goes if its doc_id is not the least of its group; a row without doc_id stays.
-    The ids that go are broadcast while they are few, else joined.
+    Every row is its own document: rows get a row number, written with them so that it
+    stays the same, and the near-duplicate search keys on (doc_id is NULL, doc_id, row
+    number).  The row that stays is the one of least doc_id (rows with a doc_id before
+    rows without; among equal ids the first row); the others go, by row, so that a clean
+    text under a repeated doc_id stays.
     """
-    found = store(near_duplicates(docs, shingle=5, percent=80), "groups")
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    if gone.count() <= MOST_BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    numbered = store(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    keyed = numbered.select(order.alias("_order"), "text")
+    found = near_duplicates(keyed, key="_order", shingle=5, percent=80)
+    kept = store(found.where(F.col("kept")).select(F.col("_order.row").alias("_row")), "kept")
+    return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,18 @@ def test_stages_survive_odd_rows(spark):
             out = stage(spark, out, SF_DIR).select(*corpus_pipeline.COLUMNS)
         assert out.where(F.col("doc_id") == 5).count() == min(1, given.count())
         assert corpus_pipeline.STAGES[4][1](spark, out, SF_DIR).count() <= given.count()
+
+
+def test_near_duplicate_stage_removes_rows_not_ids(spark):
+    a = " ".join(f"alpha{i} beta{i % 7} gamma" for i in range(40))
+    b = " ".join(f"clean{i} text{i % 5} here" for i in range(40))
+    c = " ".join(f"other{i} words{i % 3} there" for i in range(40))
+    rows = [(2, a), (5, a), (5, b), (None, a), (None, c), (None, c), (7, c + " end"), (7, c + " end"),
+            (8, None), (8, None), (9, "")]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF_DIR).collect()
+    got = sorted(((r.doc_id is None, r.doc_id, r.text) for r in kept), key=repr)
+    want = sorted([(False, 2, a), (False, 5, b), (False, 7, c + " end"), (False, 8, None), (False, 8, None), (False, 9, "")], key=repr)
+    assert got == want
