@@ -339,6 +339,11 @@ ORACLES: dict[str, str] = {
     ),
     "response_store_latest": _from("latest", _latest_all),
     "store_compacted": _from("latest", _latest_all),
+    "ingest_dense_ids": _from(
+        "inst",
+        "SELECT row_id AS source_id, instruction, row_number() OVER (ORDER BY row_id) - 1 AS row_id, "
+        "row_number() OVER (ORDER BY row_id) - 1 AS row_id_small FROM inst",
+    ),
     "stage_versions": _from(
         "improved",
         "SELECT row_id, instruction AS text, 1 AS version FROM inst "

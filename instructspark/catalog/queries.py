@@ -46,6 +46,7 @@ from instructspark.plans.resumable import generate_pending
 from instructspark.session import materialize, new_path
 from instructspark.sources import jsonl, store, tables, versions
 from instructspark.sources.compaction import CompactedStore
+from instructspark.sources.numbering import with_dense_ids
 from instructspark.streaming.incremental import incremental_validate as validate_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +164,27 @@ def store_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.latest("improve")
 
 
+def ingest_dense_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export in several JSON files gets row numbers in file order, twice: with the
+    session's split size and with splits of a few kilobytes; both must agree."""
+    path = new_path(spark, "export")
+    table = given.instruction_table(spark, sf_dir).select(F.col("row_id").alias("source_id"), "instruction")
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table.repartitionByRange(parts, "source_id").sortWithinPartitions("source_id").write.json(path)
+    schema = "source_id long, instruction string"
+    default = with_dense_ids(spark.read.schema(schema).json(path))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "4096")
+        small = materialize(with_dense_ids(spark.read.schema(schema).json(path)), "small-splits")
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+    return default.join(small.select("source_id", F.col("row_id").alias("row_id_small")), "source_id")
+
+
 def stage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two published versions of one stage table, the first read back pinned after the second."""
     path = new_path(spark, "versioned")
@@ -600,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "checkpoint_salvage": checkpoint_salvage,
     "response_store_latest": response_store_latest,
     "stage_versions": stage_versions,
+    "ingest_dense_ids": ingest_dense_ids,
     "store_compacted": store_compacted,
     "subset_first_n": subset_first_n,
     "field_pairs_unpivot": _pairs,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from instructspark.fixed_values import RAW_COLUMNS
 from instructspark.operators.fields import require_columns
+from instructspark.sources.numbering import with_dense_ids
 
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 KEYED_SCHEMA = T.StructType([T.StructField("row_id", T.LongType()), *RAW_SCHEMA.fields])
@@ -31,15 +32,16 @@ def ingest_instructions(
 ) -> DataFrame:
     """Gives an export without keys its ``row_id``, once, and stores the result.
 
-    Row order follows the file splits.  The ids must be persisted before use,
-    because they follow the file layout; that is why this writes a table.
+    Ids are dense, 0 to n - 1, in order of file paths and lines within them, and do
+    not depend on how the files are split (``numbering.with_dense_ids``).  They are
+    persisted with the rows so that later reads agree whatever changes in the files.
     """
     if format == "json":
         raw = spark.read.schema(RAW_SCHEMA).option("mode", "FAILFAST").json(source)
     else:
         raw = spark.read.format(format).load(source)
     require_columns(raw, RAW_COLUMNS)
-    keyed = raw.select(F.monotonically_increasing_id().alias("row_id"), *RAW_COLUMNS)
+    keyed = with_dense_ids(raw).select("row_id", *RAW_COLUMNS)
     write_stage(keyed, target)
     return load_instructions(spark, target)
 
