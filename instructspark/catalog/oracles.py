@@ -350,6 +350,9 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT row_id, instruction_improved AS text, 2 AS version FROM improved",
     ),
     "subset_first_n": _from("inst", f"SELECT {SIX} FROM inst ORDER BY row_id LIMIT 100"),
+    "subset_nth_key": _from(
+        "inst", f"SELECT {SIX} FROM inst ORDER BY row_id LIMIT (SELECT count(*) // 2 FROM inst)"
+    ),
     "field_pairs_unpivot": _from("pairs", "SELECT * FROM pairs"),
     "compare_preview": _from(
         "improved",

@@ -226,6 +226,12 @@ def subset_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_rows(given.instruction_table(spark, sf_dir), 100)
 
 
+def subset_nth_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the table, by a key selected in ranges."""
+    table = given.instruction_table(spark, sf_dir)
+    return first_rows(table, table.count() // 2)
+
+
 def _first_improved(spark: SparkSession, sf_dir: str, n: int) -> tuple[DataFrame, DataFrame]:
     """The first rows of the source, improved, and their keys."""
     base = first_rows(given.instruction_table(spark, sf_dir), n)
@@ -625,6 +631,7 @@ QUERIES: dict[str, Query] = {
     "ingest_dense_ids": ingest_dense_ids,
     "store_compacted": store_compacted,
     "subset_first_n": subset_first_n,
+    "subset_nth_key": subset_nth_key,
     "field_pairs_unpivot": _pairs,
     "compare_preview": compare_preview,
     "distill_preview": distill_preview,

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from instructspark.fixed_values import COLUMN_PAIRS, PREPARE_INPUTS
 from instructspark.functions.text import or_empty
@@ -85,13 +86,51 @@ def swap_reference(
     return df.withColumnRenamed(new, target)
 
 
+# Buckets of a key range counted per round of ``nth_key``.
+RANGE_BUCKETS = 1024
+
+
+def nth_key(df: DataFrame, n: int, key: str = "row_id", buckets: int = RANGE_BUCKETS):
+    """The ``n``-th least non-NULL value of an integral key column (1-based), or None.
+
+    Distributed selection: each round counts the keys of the current range in
+    ``buckets`` equal sub-ranges (one aggregation, at most ``buckets`` rows to the
+    driver), keeps the sub-range that holds rank ``n`` and goes on inside it, until a
+    sub-range is one value.  A round's filter reaches the scan; no task sorts keys, and
+    64-bit keys need at most seven rounds.  More than all keys: the greatest.
+    Other key types fall back to sorting the keys.
+    """
+    column = F.col(key)
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        return df.select(key).where(column.isNotNull()).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+    if n < 1:
+        return None
+    low, high, total = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not total:
+        return None
+    if n >= total:
+        return high
+    while low < high:
+        width = -(-(high - low + 1) // buckets)  # keys per bucket, rounded up
+        inside = df.where(column.between(low, high))
+        # Exact: decimals hold key - low for any 64-bit keys; div truncates, here downwards.
+        bucket = F.expr(f"(cast(`{key}` as decimal(20,0)) - cast({low} as decimal(20,0))) div {width}")
+        counts = sorted(tuple(r) for r in inside.groupBy(bucket.alias("b")).count().collect())
+        for b, count in counts:
+            if n <= count:
+                low, high = low + b * width, min(high, low + (b + 1) * width - 1)
+                break
+            n -= count
+    return low
+
+
 def first_rows(df: DataFrame, n: int, key: str = "row_id") -> DataFrame:
     """The first ``n`` rows in key order; keys are unique.
 
-    Only keys are sorted, for the n-th one; the rows are then a filter on the key,
-    which reaches the scan and leaves them distributed.
+    The n-th key is selected by ranges (``nth_key``); the rows are then a filter on
+    the key, which reaches the scan and leaves them distributed.
     """
-    last = df.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+    last = nth_key(df, n, key)
     return df.where(F.col(key) <= F.lit(last)) if last is not None else df.limit(0)
 
 
