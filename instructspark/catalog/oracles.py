@@ -398,6 +398,19 @@ ORACLES: dict[str, str] = {
     "generate_batches": _from(
         "pairs", f"SELECT row_id, field, {_rewritten('text', 'ref_text')} AS result FROM pairs"
     ),
+    "generate_budgeted": _from(
+        "pairs", f"SELECT row_id, field, {_rewritten('text', 'ref_text')} AS result FROM pairs"
+    ),
+    "generate_with_failures": _from(
+        "pairs",
+        f"""SELECT row_id, field,
+            CASE WHEN {_skip('text', 'ref_text')} OR length(ref_text || chr(10) || chr(10) || text) % 7 = 0 THEN NULL
+                 ELSE string_split(ref_text || chr(10) || chr(10) || text, chr(10) || chr(10))[-1] || ' !' END AS response,
+            CASE WHEN NOT {_skip('text', 'ref_text')} AND length(ref_text || chr(10) || chr(10) || text) % 7 = 0
+                 THEN 'ValueError: cannot answer a prompt of '
+                      || length(ref_text || chr(10) || chr(10) || text) || ' characters' END AS error
+            FROM pairs""",
+    ),
     "improve_generated": _from(
         "inst",
         f"SELECT {SIX}, {_ALL_REWRITTEN} FROM inst",

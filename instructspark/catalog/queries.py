@@ -34,7 +34,8 @@ from instructspark.operators.fields import (
     preview,
     swap_reference,
 )
-from instructspark.operators.generation import accepted_text, rewrite
+from instructspark.operators.budgeted import generate_budgeted as generate_by_budget
+from instructspark.operators.generation import accepted_text, rewrite, with_rewrite_prompt
 from instructspark.operators.generation import skip_split_counts as count_skips
 from instructspark.operators.validate import reason_counts, with_validated
 from instructspark.plans import chains
@@ -326,6 +327,34 @@ def generate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def generate_budgeted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``generate_batches`` with batches of like length under a token budget."""
+    asked = with_rewrite_prompt(_pairs(spark, sf_dir), "text", "ref_text", "_prompt", "{reference}\n\n{text}")
+    answered = generate_by_budget(asked, "_prompt", "_response", _shouting, token_budget=4096, most_rows=32)
+    final = accepted_text(F.col("text"), F.col("ref_text"), F.col("_response"))
+    return answered.select("row_id", "field", final.alias("result"))
+
+
+def _fragile() -> Callable[[list], list[str]]:
+    """``_shouting``, but a batch with a prompt whose length is a multiple of seven fails whole."""
+    shout = _shouting()
+
+    def ask(prompts: list) -> list[str]:
+        for p in prompts:
+            if len(p) % 7 == 0:
+                raise ValueError(f"cannot answer a prompt of {len(p)} characters")
+        return shout(prompts)
+
+    return ask
+
+
+def generate_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing batches are halved until the prompts that fail are alone; those keep an error."""
+    asked = with_rewrite_prompt(_pairs(spark, sf_dir), "text", "ref_text", "_prompt", "{reference}\n\n{text}")
+    answered = generate_by_budget(asked, "_prompt", "response", _fragile, token_budget=4096, most_rows=32)
+    return answered.select("row_id", "field", "response", "error")
+
+
 def improve_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Improve through a store in several commits, twice: the rerun finds nothing to ask."""
     kept = store.ResponseStore(spark, new_path(spark, "responses"))
@@ -646,6 +675,8 @@ QUERIES: dict[str, Query] = {
     "improved_wide": _improved,
     "improved_gathered": improved_gathered,
     "generate_batches": generate_batches,
+    "generate_budgeted": generate_budgeted,
+    "generate_with_failures": generate_with_failures,
     "improve_generated": improve_generated,
     "standard_chain": standard_chain,
     "resume_changed_text": resume_changed_text,
