@@ -546,6 +546,17 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"round(avg({name}), 6) AS avg_{name}" for name in [*REWARDS, "total"])
         + " FROM totals GROUP BY task_type",
     ),
+    "group_reward": _from(
+        "paired",
+        """SELECT prompt_id, completion_id, round(
+            (count(*) OVER (PARTITION BY prompt_id, label))::DOUBLE
+            / (count(*) OVER (PARTITION BY prompt_id))::DOUBLE, 9) AS agreement
+        FROM (
+            SELECT prompt_id, completion_id, translate(list_filter(list_transform(
+                string_split(coalesce(completion, ''), chr(10)), lambda l: trim(l, ' ' || chr(9) || chr(13))),
+                lambda l: l <> '')[1], '""" + "ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz" + """') AS label
+            FROM paired)""",
+    ),
     "incremental_validate": f"""SELECT doc_id, reason, md5({_result('reason', 'response', 'text')}) AS digest
         FROM (SELECT *, {_reason('response', 'text')} AS reason FROM ({_stream_rows}))""",
 }

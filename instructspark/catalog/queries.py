@@ -35,6 +35,7 @@ from instructspark.operators.fields import (
     swap_reference,
 )
 from instructspark.operators.budgeted import generate_budgeted as generate_by_budget
+from instructspark.operators.group_rewards import AGREEMENT, group_reward
 from instructspark.operators.generation import accepted_text, rewrite, with_rewrite_prompt
 from instructspark.operators.generation import skip_split_counts as count_skips
 from instructspark.operators.validate import reason_counts, with_validated
@@ -616,6 +617,13 @@ def own_reward_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.withColumn("advantage", F.round("advantage", 5))
 
 
+def group_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreement of each completion with the others of its prompt, by first lines."""
+    paired = _paired(spark, sf_dir).select("prompt_id", "completion_id", "completion")
+    scored = group_reward(paired, AGREEMENT)
+    return scored.select("prompt_id", "completion_id", F.round("agreement", 9).alias("agreement"))
+
+
 def reward_by_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = scoring.reward_by_task(_scored(spark, sf_dir))
     means = [F.round(name, 6).alias(name) for name in summary.columns if name.startswith("avg_")]
@@ -710,5 +718,6 @@ QUERIES: dict[str, Query] = {
     "group_advantage": group_advantage,
     "own_reward_scaled": own_reward_scaled,
     "reward_by_task": reward_by_task,
+    "group_reward": group_rewards,
     "incremental_validate": incremental_validate,
 }
