@@ -546,6 +546,10 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"round(avg({name}), 6) AS avg_{name}" for name in [*REWARDS, "total"])
         + " FROM totals GROUP BY task_type",
     ),
+    "incremental_upsert": """SELECT doc_id,
+        md5(CASE WHEN doc_id % 5 = 0 THEN text || ' (edited)' ELSE text END) AS digest,
+        CASE WHEN doc_id % 5 = 0 AND text IS NOT NULL THEN 2 ELSE 1 END AS processed_in
+        FROM documents WHERE doc_id IS NOT NULL""",
     "group_reward": _from(
         "paired",
         """SELECT prompt_id, completion_id, round(

@@ -50,6 +50,8 @@ from instructspark.sources import jsonl, store, tables, versions
 from instructspark.sources.compaction import CompactedStore
 from instructspark.sources.numbering import with_dense_ids
 from instructspark.streaming.incremental import incremental_validate as validate_new_files
+from instructspark.streaming.upsert import UpsertTarget
+from instructspark.streaming.upsert import incremental_upsert as upsert_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -657,6 +659,29 @@ def incremental_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a growing folder: all documents, then a fifth of them edited, then
+    the edited file again; and the second batch replayed.  Each key keeps the result of
+    its newest input, processed once."""
+    source, target, progress = (new_path(spark, name) for name in ("upsert-in", "upsert", "upsert-progress"))
+    docs = spark.read.schema(given.SCHEMAS["documents"]).parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    edited = docs.withColumn(
+        "text", F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text"))
+    )
+    schema = docs.schema
+    for run, table in enumerate((docs, edited, edited), start=1):
+        table.write.parquet(f"{source}/run-{run}")
+
+        def process(rows: DataFrame, run: int = run) -> DataFrame:
+            return rows.select("doc_id", "_digest", F.md5("text").alias("digest"), F.lit(run).alias("processed_in"))
+
+        upsert_files(spark, f"{source}/*", schema, target, progress, "doc_id", process)
+    # A batch delivered again after a crash changes nothing.
+    kept = UpsertTarget(spark, target, "doc_id")
+    kept.merge(edited, 1, ["text"], lambda rows: rows.limit(0))
+    return kept.read().select("doc_id", "digest", "processed_in")
+
+
 QUERIES: dict[str, Query] = {
     "instruction_scan": instruction_scan,
     "stage_roundtrip": stage_roundtrip,
@@ -720,4 +745,5 @@ QUERIES: dict[str, Query] = {
     "reward_by_task": reward_by_task,
     "group_reward": group_rewards,
     "incremental_validate": incremental_validate,
+    "incremental_upsert": incremental_upsert,
 }

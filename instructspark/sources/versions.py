@@ -79,10 +79,27 @@ def versions(spark: SparkSession, path: str) -> dict[int, str]:
     found = {}
     for name in files.names(f"{path}/{VERSIONS}"):
         if name.isdigit():
-            found[int(name)] = f"{path}/{files.read(f'{path}/{VERSIONS}/{name}').strip()}"
+            first = files.read(f"{path}/{VERSIONS}/{name}").strip().split("\n")[0]
+            found[int(name)] = f"{path}/{first.strip()}"
     return found
 
 
+def version_folders(spark: SparkSession, path: str) -> dict[int, list[str]]:
+    """Published versions with all the folders each one names (one per line)."""
+    files = _Files(spark, path)
+    found = {}
+    for name in files.names(f"{path}/{VERSIONS}"):
+        if name.isdigit():
+            lines = files.read(f"{path}/{VERSIONS}/{name}").split("\n")
+            found[int(name)] = [f"{path}/{line.strip()}" for line in lines if line.strip()]
+    return found
+
+
+def commit_folders(spark: SparkSession, path: str, folders: list[str]) -> int:
+    """Publishes a version made of several folders under ``path`` (names relative to it)."""
+    return commit(spark, Staged(path, "\n".join(folders)))
+
+
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """The newest published version, or None."""
     return max(versions(spark, path), default=None)
@@ -132,14 +149,14 @@ def remove_unreferenced(spark: SparkSession, path: str, keep: int | None = None)
     Run it when no writer is between stage and commit: a staged folder is unreferenced.
     """
     files = _Files(spark, path)
-    known = versions(spark, path)
+    known = version_folders(spark, path)
     dropped = []
     if keep is not None:
         for number in sorted(known)[: max(0, len(known) - keep)]:
             files.delete(f"{path}/{VERSIONS}/{number:0{WIDTH}d}")
             dropped.append(f"{VERSIONS}/{number:0{WIDTH}d}")
             known.pop(number)
-    used = {folder.rsplit("/", 1)[1] for folder in known.values()}
+    used = {folder[len(path) + 1 :].split("/", 1)[0] for folders in known.values() for folder in folders}
     for name in files.names(path):
         if name.startswith("data-") and name not in used:
             files.delete(f"{path}/{name}")
