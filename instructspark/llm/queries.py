@@ -16,7 +16,7 @@ from instructspark.llm.mixing import mix
 from instructspark.llm.quality_crf import fit_quality, score_quality
 from instructspark.llm.secrets import find_secrets
 from instructspark.llm.setsketch import near_duplicates
-from instructspark.llm.simplex_kmeans import cluster
+from instructspark.llm.simplex_kmeans import CENTROIDS, DIMENSION, ROUNDS, SCALE, SEED_PREFIX, cluster
 from instructspark.llm.token_edits import apply_edits, load_ranks, token_trees
 from instructspark.llm.toxicity import fit_toxicity, score_toxicity
 from instructspark.llm.url_trie import ALLOW, BLOCK, Rule, filter_urls
@@ -150,7 +150,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_simplex_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    return cluster(vectors, "vec_id", "embedding")
+    return cluster(vectors, "vec_id", "embedding").drop("candidates")
 
 
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,3 +218,53 @@ ORACLES: dict[str, str] = {
         FROM split LEFT JOIN (SELECT * FROM fits WHERE nr = 1) USING (page_id)
     """,
 }
+
+
+def _distance(x: str, c: str) -> str:
+    return f"list_sum(list_transform(range(1, {DIMENSION + 1}), lambda i: ({x}[i] - {c}[i]) * ({x}[i] - {c}[i])))"
+
+
+def _assigned(centroids: str) -> str:
+    """Each kept vector with its nearest centroid (ties: smaller number) and the distance."""
+    return f"""SELECT k.vec_id, k.x, arg_min(c.cluster, [{_distance('k.x', 'c.c')}, c.cluster]) AS cluster,
+            min({_distance('k.x', 'c.c')}) AS distance
+        FROM kept k CROSS JOIN {centroids} c GROUP BY k.rowid_, k.vec_id, k.x"""
+
+
+def _kmeans_sql() -> str:
+    parts = [
+        f"""kept AS (
+            SELECT row_number() OVER () AS rowid_, vec_id,
+                list_transform(embedding, lambda v: floor({SCALE} * v::DOUBLE)::BIGINT) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) = {DIMENSION}
+              AND list_bool_and(list_transform(embedding, lambda v: v IS NOT NULL AND isfinite(v::DOUBLE))))""",
+        f"""c0 AS (
+            SELECT (row_number() OVER (ORDER BY sha256('{SEED_PREFIX}' || vec_id::VARCHAR), x) - 1)::INTEGER AS cluster,
+                x AS c
+            FROM kept WHERE vec_id IS NOT NULL
+            QUALIFY row_number() OVER (ORDER BY sha256('{SEED_PREFIX}' || vec_id::VARCHAR), x) <= {CENTROIDS})""",
+    ]
+    for r in range(1, ROUNDS + 1):
+        parts.append(f"a{r} AS ({_assigned(f'c{r - 1}')})")
+        parts.append(
+            f"""m{r} AS (
+            SELECT cluster, list(floor(s::DOUBLE / n)::BIGINT ORDER BY i) AS c FROM (
+                SELECT cluster, i, sum(x[i]) AS s, count(*) AS n
+                FROM a{r}, (SELECT unnest(range(1, {DIMENSION + 1})) AS i) GROUP BY cluster, i)
+            GROUP BY cluster)"""
+        )
+        parts.append(
+            f"""c{r} AS (
+            SELECT o.cluster, coalesce(m.c, o.c) AS c FROM c{r - 1} o LEFT JOIN m{r} m USING (cluster))"""
+        )
+    parts.append(f"final AS ({_assigned(f'c{ROUNDS}')})")
+    return "WITH " + ",\n".join(parts) + f"""
+        SELECT f.vec_id, f.cluster, f.distance,
+            sum(f.distance) OVER (PARTITION BY f.cluster) AS cluster_inertia,
+            sum(f.distance) OVER () AS inertia,
+            sha256(array_to_string(list_transform(c.c, lambda v: v::VARCHAR), ',')) AS centroid_sha256
+        FROM final f JOIN c{ROUNDS} c USING (cluster)"""
+
+
+ORACLES["op12_simplex_kmeans"] = _kmeans_sql()
