@@ -46,6 +46,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def shared_names(spark: SparkSession) -> set[str]:
+    """Names of the tables in the shared folder (none if it does not exist yet)."""
+    folder = shared_folder(spark)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return set()
+    return {status.getPath().getName() for status in fs.listStatus(place)}
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
