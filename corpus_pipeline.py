@@ -6,10 +6,12 @@ and read again as the next stage's documents.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from instructspark.llm.common import store
+from instructspark.session import new_path, remove_path, shared_folder, shared_names
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import drop_boilerplate
 from instructspark.llm.mixing import mixed_documents
@@ -41,16 +43,28 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with ``_row``, an identity that stays the same when they are read again.
+
+    A table read from Parquet (as every stage's input is) has its file and row index; any
+    other table is numbered and written once.
+    """
+    try:
+        place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+        return docs.select(*COLUMNS, place.alias("_row"))
+    except AnalysisException:
+        return store(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, by five-word shingles, 0.8 alike.
 
-    Every row is its own document: rows get a row number, written with them so that it
-    stays the same, and the near-duplicate search keys on (doc_id is NULL, doc_id, row
-    number).  The row that stays is the one of least doc_id (rows with a doc_id before
-    rows without; among equal ids the first row); the others go, by row, so that a clean
-    text under a repeated doc_id stays.
+    Every row is its own document: the near-duplicate search keys on (doc_id is NULL,
+    doc_id, row identity).  The row that stays is the one of least doc_id (rows with a
+    doc_id before rows without; among equal ids the first by identity); the others go,
+    by row, so that a clean text under a repeated doc_id stays.
     """
-    numbered = store(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    numbered = _numbered(docs)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
     keyed = numbered.select(order.alias("_order"), "text")
     found = near_duplicates(keyed, key="_order", shingle=5, percent=80)
@@ -82,10 +96,24 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's result is written and read again."""
+    """All stages over the documents; each stage's result is written and read again.
+
+    Once a stage's result is written, the intermediate tables the stage left in the
+    shared folder are deleted, and so is the result of the stage before: the next stage
+    reads only the new result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    previous = None
     for number, (_, stage) in enumerate(STAGES):
+        before = shared_names(spark)
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
-            docs = store(docs, "stage")
+            path = new_path(spark, "stage")
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            for name in shared_names(spark) - before - {path.rsplit("/", 1)[1]}:
+                remove_path(spark, f"{shared_folder(spark)}/{name}")
+            if previous is not None:
+                remove_path(spark, previous)
+            previous = path
     return docs
