@@ -422,6 +422,19 @@ ORACLES: dict[str, str] = {
             {_task_type('instruction_en')} AS task_type
         FROM (SELECT {SIX}, {_ALL_REWRITTEN} FROM inst)""",
     ),
+    "distilled_chain": _from(
+        "inst",
+        f"""SELECT * EXCLUDE (output_improved, output_polished),
+            output_polished AS output_improved, output_improved AS output_improved_phase1,
+            1::INTEGER AS messages, 'user' AS role,
+            {_content('instruction_improved', 'input_improved')} AS content,
+            {_task_type('instruction_en')} AS task_type
+        FROM (
+            SELECT *, {_rewritten("coalesce(output_generated, '')", "coalesce(instruction_en, '')")} AS output_polished
+            FROM (
+                SELECT *, {_content('instruction_improved', 'input_improved')} || ' svar' AS output_generated
+                FROM (SELECT {SIX}, {_ALL_REWRITTEN} FROM inst)))""",
+    ),
     "resume_changed_text": _from(
         "pairs",
         "SELECT row_id, field FROM pairs WHERE length(text) % 2 = 1 OR row_id % 3 = 0",

@@ -376,6 +376,20 @@ def standard_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_prompt(prepared)
 
 
+def _answering() -> Callable[[list], list[str]]:
+    """An answerer whose answers SQL can tell: the user's text, marked."""
+    return lambda prompts: [p[-1]["content"] + " svar" for p in prompts]
+
+
+def distilled_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Improve, answer, polish with generators, then prepare with the polished answers and publish."""
+    kept = store.ResponseStore(spark, new_path(spark, "responses"))
+    table = materialize(given.instruction_table(spark, sf_dir), "instructions")
+    options = chains.StageOptions(template="{reference}\n\n{text}", parts=2, system=None)
+    prepared, _ = chains.distilled_chain(table, kept, _shouting, _answering, new_path(spark, "chain"), options=options)
+    return _flat_prompt(prepared)
+
+
 def resume_changed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is pending after a first run once every third text has changed.
 
@@ -712,6 +726,7 @@ QUERIES: dict[str, Query] = {
     "generate_with_failures": generate_with_failures,
     "improve_generated": improve_generated,
     "standard_chain": standard_chain,
+    "distilled_chain": distilled_chain,
     "resume_changed_text": resume_changed_text,
     "validate_response": validate_responses,
     "validate_documents": validate_documents,
