@@ -178,9 +178,10 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, options: Options) -> DataFram
         x, y = (np.frombuffer(b"".join(s), ">u2").reshape(len(s), REGISTERS) for s in (one, other))
         return pd.Series(estimate_similarity(x, y, n_one.to_numpy(float), n_other.to_numpy(float)))
 
-    for side in ("a", "b"):
+    # A hub meets many nodes: its rows are dealt over salts, not sent to one task.
+    for side, other in (("a", "b"), ("b", "a")):
         own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"r_{side}"))
-        pairs = pairs.join(own, side)
+        pairs = lookup_join(pairs, own, side, other)
     fit = pairs.where(_sizes_allow(F.col("n_a"), F.col("n_b"), options.percent))
     close = fit.withColumn("j", estimate("r_a", "r_b", "n_a", "n_b")).where(F.col("j") >= options.cut)
     return close.select("a", "b")
@@ -220,8 +221,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, options: Options) -> DataFrame:
             out.append(100 * shared >= percent * (len(a) + len(b) - shared))
         return pd.Series(out, dtype=bool)
 
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}")), side)
+    for side, other in (("a", "b"), ("b", "a")):
+        own = sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}"))
+        pairs = lookup_join(pairs, own, side, other)
     return pairs.where(similar("s_a", "s_b")).select("a", "b")
 
 
