@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row
@@ -67,11 +68,43 @@ def check(df: DataFrame) -> Row:
 
 
 def prepare_and_publish(df: DataFrame, path: str) -> tuple[DataFrame, Row]:
-    """Prepares, checks, then writes; an invalid table is never written."""
+    """Prepares, writes and checks in one pass; an invalid table never reaches ``path``.
+
+    The prepared rows are written to a folder beside ``path`` while the report's
+    counts are observed (the input is read once).  A valid table then replaces what
+    was at ``path`` (deleted, then the folder renamed); an invalid one is deleted and
+    ``InvalidTableError`` raised.  For a publish that readers never see half done,
+    use ``publish_observed``.
+    """
+    spark = df.sparkSession
     prepared = prepare(require_columns(df))
-    report = check(prepared)
-    write_stage(prepared, path)
-    return read_stage(df.sparkSession, path), report
+    labels = [*TASK_KEYWORDS, OTHER_TASK]
+    observation = Observation("prepare")
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    write_stage(prepared.observe(observation, *_observed(prepared, labels)), staging, mode="errorifexists")
+    report = _report(observation.get, labels, missing_columns(prepared, PREPARED_REQUIRED))
+    files = versions._Files(spark, staging)
+    if not report["is_valid"]:
+        files.delete(staging)
+        raise InvalidTableError(report)
+    files.delete(path)
+    if not files.fs.rename(files.path(staging), files.path(path)):
+        raise OSError(f"could not move {staging} to {path}")
+    return read_stage(spark, path), report
+
+
+def _report(counts: Mapping[str, int], labels: Sequence[str], missing: Sequence[str]) -> Row:
+    """The report row from observed counts: labels with rows only."""
+    distribution = {
+        name: counts[f"label:{name}"] for name in [*labels, UNLISTED] if counts.get(f"label:{name}", 0)
+    }
+    return Row(
+        total_rows=counts["total_rows"],
+        empty_prompts=counts["empty_prompts"],
+        task_type_distribution=distribution,
+        missing_columns=list(missing),
+        is_valid=not missing and counts["empty_prompts"] == 0,
+    )
 
 
 def _observed(df: DataFrame, labels: Sequence[str]) -> list[Column]:
@@ -105,18 +138,7 @@ def publish_observed(
     labels = [*rules, OTHER_TASK] if OTHER_TASK not in rules else list(rules)
     observation = Observation("publish")
     staged = versions.stage(prepared.observe(observation, *_observed(prepared, labels)), path)
-    counts = observation.get
-    missing = missing_columns(prepared, required)
-    distribution = {
-        name: counts[f"label:{name}"] for name in [*labels, UNLISTED] if counts.get(f"label:{name}", 0)
-    }
-    report = Row(
-        total_rows=counts["total_rows"],
-        empty_prompts=counts["empty_prompts"],
-        task_type_distribution=distribution,
-        missing_columns=missing,
-        is_valid=not missing and counts["empty_prompts"] == 0,
-    )
+    report = _report(observation.get, labels, missing_columns(prepared, required))
     spark = df.sparkSession
     if not report["is_valid"]:
         versions.discard(spark, staged)
