@@ -181,23 +181,26 @@ ORACLES: dict[str, str] = {
         WITH lines AS (
             SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS nr
-            FROM documents
+            FROM documents WHERE text IS NOT NULL
         ), bare AS (
             SELECT *, trim(line, chr(32) || chr(9) || chr(13)) AS bare FROM lines
         ), pages AS (
             SELECT source, count(*) AS pages FROM documents GROUP BY source
+        ), counted AS (
+            SELECT source, bare, count(DISTINCT doc_id) AS n FROM bare WHERE bare <> '' GROUP BY source, bare
         ), often AS (
-            SELECT source, bare FROM
-                (SELECT source, bare, count(DISTINCT doc_id) AS n FROM bare WHERE bare <> ''
-                 GROUP BY source, bare) JOIN pages USING (source)
-            WHERE n >= {MIN_PAGES} AND n > {RATIO} * pages
+            SELECT c.source, c.bare FROM counted c JOIN pages p ON p.source IS NOT DISTINCT FROM c.source
+            WHERE c.n >= {MIN_PAGES} AND c.n > {RATIO} * p.pages
         ), marked AS (
             SELECT bare.*, often.bare IS NOT NULL AS dropped
-            FROM bare LEFT JOIN often ON bare.source = often.source AND bare.bare = often.bare
+            FROM bare LEFT JOIN often
+              ON bare.source IS NOT DISTINCT FROM often.source AND bare.bare = often.bare
         )
         SELECT doc_id, source, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
                coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT dropped), '') AS clean_text
         FROM marked GROUP BY doc_id, source
+        UNION ALL
+        SELECT doc_id, source, 0 AS n_lines, 0 AS n_dropped, NULL AS clean_text FROM documents WHERE text IS NULL
     """,
     "op10_url_filter": f"""
         WITH rules(rhost, rpath, verdict) AS (VALUES {_RULES_SQL}),

@@ -178,3 +178,20 @@ def test_native_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "a", "x")], "nr int, source string, text string")
     plan = drop_boilerplate(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_line_dedup_sql_is_null_safe(spark):
+    import duckdb
+    import pandas as pd
+
+    from instructspark.llm.queries import ORACLES
+
+    common = "\n".join(f"menu line {i}" for i in range(3))
+    rows = [(i, None if i % 4 == 0 else "s", f"{common}\nown {i}" if i % 7 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = sorted(tuple(r) for r in drop_boilerplate(df).select("doc_id", "source", "n_lines", "n_dropped", "clean_text").collect())
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame(rows, columns=["doc_id", "source", "text"]))
+    want = sorted(tuple(r) for r in db.execute(ORACLES["op8_line_dedup"]).fetchall())
+    assert got == want
+    assert any(r[1] is None and r[3] > 0 for r in got) and any(r[2] == 0 for r in got)
