@@ -112,9 +112,9 @@ def _edits(text: Column, source: Column) -> Column:
     )
 
 
-def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary_path: str = VOCABULARY) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    vocabulary = load_ranks(VOCABULARY)
+    vocabulary = load_ranks(vocabulary_path)
     known = token_trees(docs, vocabulary)
     source = F.coalesce(F.col("source"), F.lit(""))
     edits = _edits(F.coalesce(F.col("text"), F.lit("")), source)

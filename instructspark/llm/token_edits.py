@@ -34,8 +34,11 @@ CACHE = 200_000
 
 def load_ranks(path: str) -> bytes:
     """The tokenizer's vocabulary file: a token in base 64 and its rank on each line."""
-    with open(path, "rb") as file:
-        return file.read()
+    try:
+        with open(path, "rb") as file:
+            return file.read()
+    except FileNotFoundError as error:
+        raise FileNotFoundError(f"no vocabulary file at {path}; pass the path of a byte-level BPE rank file") from error
 
 
 class Counter:
