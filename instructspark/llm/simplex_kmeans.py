@@ -132,28 +132,36 @@ def nearest(x: np.ndarray, apex: np.ndarray, centroids: np.ndarray, centroid_ape
     return pick.astype(np.int32), grid[np.arange(len(grid)), pick], candidates.sum(axis=1).astype(np.int32)
 
 
-def _with_apexes(simplex: Simplex):
+def _with_apexes(simplex: Simplex, key: str):
+    """Points and apexes as fixed-width bytes, which the rounds read back without parsing lists."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            x = np.stack(batch["_x"].to_numpy()).astype(np.int64)
-            batch["_apex"] = list(simplex.apexes(x))
-            yield batch
+            x = np.stack(batch["_x"].to_numpy()).astype("<i8")
+            apex = simplex.apexes(x).astype("<f8")
+            yield pd.DataFrame({key: batch[key], "_xb": [r.tobytes() for r in x], "_ab": [r.tobytes() for r in apex]})
 
     return run
 
 
+def _unpacked(batch: pd.DataFrame, d: int, p: int) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(b"".join(batch["_xb"]), dtype="<i8").reshape(-1, d)
+    apex = np.frombuffer(b"".join(batch["_ab"]), dtype="<f8").reshape(-1, p)
+    return x, apex
+
+
 def _round(simplex: Simplex, centroids: np.ndarray, key: str, final: bool):
     centroid_apex = simplex.apexes(centroids)
     k, d = centroids.shape
+    p = centroid_apex.shape[1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            x = np.stack(batch["_x"].to_numpy()).astype(np.int64)
-            apex = np.stack(batch["_apex"].to_numpy())
+            x, apex = _unpacked(batch, d, p)
             cluster, distance, candidates = nearest(x, apex, centroids, centroid_apex)
             if final:
                 yield pd.DataFrame(
@@ -222,8 +230,8 @@ def cluster(
     if len(centroids) == 0:
         return spark.createDataFrame([], schema)
     simplex = Simplex(centroids, pivots)
-    apex_schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _x array<long>, _apex array<double>"
-    cached = store(points.mapInPandas(_with_apexes(simplex), apex_schema), "simplex-points")
+    apex_schema = f"`{key}` {df.schema[key].dataType.simpleString()}, _xb binary, _ab binary"
+    cached = store(points.mapInPandas(_with_apexes(simplex, key), apex_schema), "simplex-points")
     for _ in range(rounds):
         sums = cached.mapInPandas(_round(simplex, centroids, key, False), "cluster int, i int, v string")
         totals = sums.groupBy("cluster", "i").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).collect()
