@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from instructspark.session import new_path
+from instructspark.session import new_path, remove_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -26,7 +26,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_path = path
+    return stored
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Deletes tables that ``store`` wrote, once no plan reads them any more; others are left."""
+    for table in tables:
+        path = getattr(table, "_stored_path", None)
+        if path:
+            remove_path(table.sparkSession, path)
 
 
 # Whole texts can be long: a Python worker gets this many rows at a time at most.

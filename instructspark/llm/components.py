@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import store
+from instructspark.llm.common import drop, store
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -28,7 +28,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         for side in ("a", "b"):
             name = move.select(F.col("node").alias(side), F.col("to").alias("_to"))
             left = left.join(name, side).drop(side).withColumnRenamed("_to", side)
+        earlier = left
         left = store(left.where(F.col("a") != F.col("b")).distinct(), "edges")
+        drop(earlier)
     if not moves:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
 
@@ -39,4 +41,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
 
     first = moves[0].withColumnRenamed("to", "root")
-    return store(reduce(follow, moves[1:], first), "components")
+    found = store(reduce(follow, moves[1:], first), "components")
+    drop(left, *moves)
+    return found

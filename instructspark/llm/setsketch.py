@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import bound_batches, store, words_of
+from instructspark.llm.common import bound_batches, drop, store, words_of
 from instructspark.llm.components import connected_components
 from instructspark.operators.skew import lookup_join
 
@@ -388,6 +388,7 @@ def near_duplicates(
     set_aside = False
     components = connected_components(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
     number = 0
+    sized = None
     while True:
         final = number >= star_rounds or mixed.isEmpty()
         if final:
@@ -404,22 +405,30 @@ def near_duplicates(
         pairs = _all_pairs(mixed, nodes, options) if final else _star_pairs(mixed, number)
         close = store(_estimated(pairs, nodes, options), "pairs")
         found = store(_verified(close, sets, options), "links")
+        drop(close)
         links = found if links is None else links.unionByName(found)
+        earlier = components
         components = connected_components(links)
+        drop(earlier)
         if final:
+            drop(sized)
             break
         # Buckets whose components did not merge in this round wait for the final one.
         before = _roots_per_band(mixed)
+        old_full, old_mixed = full, mixed
         full = store(_mixed(members, components), "mixed")
         after = _roots_per_band(full).withColumnRenamed("roots", "left")
         moved = before.join(after, "band").where(F.col("left") < F.col("roots")).select("band")
         mixed = store(full.join(moved, "band", "left_semi"), "mixed")
+        drop(*[t for t in (old_full, old_mixed) if t is not members])
         set_aside = True
         number += 1
     rooted = nodes.select("node", "set_id", "rep").join(components, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = store(rooted.join(least, "root").select("set_id", "component_id"), "named")
+    # What the result reads is sketches and names; the rest of the search can go.
+    drop(nodes, members, sets, components, *([full] if full is not members else []), *([mixed] if mixed is not members else []))
     rows = sketched.select("key", "n", "set_id")
     joined = lookup_join(rows, named, "set_id", "key", "left", min_rows=1000)
     component = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id"))
