@@ -203,6 +203,13 @@ TABLES = {
 }
 
 
+def _counts(text: str) -> str:
+    """What the letter-counting encoder of ``embed_rewards`` gives, before its length is one."""
+    return ", ".join(
+        [*(f"length({text}) - length(replace({text}, '{c}', ''))" for c in ("a", "e", " ")), f"length({text})"]
+    )
+
+
 def _semantic(left: str, right: str, floor: float, span: float) -> str:
     dot = f"list_inner_product({left}::DOUBLE[], {right}::DOUBLE[])"
     return f"greatest(0::DOUBLE, least(1::DOUBLE, ({dot} - {floor}::DOUBLE) / {span}::DOUBLE))"
@@ -534,6 +541,17 @@ ORACLES: dict[str, str] = {
         round({_semantic('a.embedding', 'b.embedding', WIDE_FLOOR, WIDE_SPAN)}, 6) AS semantic_wide
         FROM embeddings a JOIN embeddings b
             ON b.vec_id = (a.vec_id + 1) % (SELECT count(*) FROM embeddings)""",
+    "embed_rewards": _from(
+        "paired",
+        f"""SELECT prompt_id, completion_id, round({_semantic('ce', 're', fixed.SIMILARITY_FLOOR, fixed.SIMILARITY_SPAN)}, 6) AS semantic FROM (
+            SELECT prompt_id, completion_id,
+                list_transform(cv, lambda v: (v / coalesce(nullif(sqrt(list_sum(list_transform(cv, lambda w: w * w))), 0), 1))::FLOAT) AS ce,
+                list_transform(rv, lambda v: (v / coalesce(nullif(sqrt(list_sum(list_transform(rv, lambda w: w * w))), 0), 1))::FLOAT) AS re
+            FROM (SELECT prompt_id, completion_id,
+                CASE WHEN completion IS NOT NULL THEN [{_counts('completion')}]::DOUBLE[] END AS cv,
+                CASE WHEN output_improved IS NOT NULL THEN [{_counts('output_improved')}]::DOUBLE[] END AS rv
+                FROM paired))""",
+    ),
     "weighted_reward": _from(
         "totals", f"SELECT prompt_id, completion_id, {_rounded([*REWARDS, 'total'])} FROM totals"
     ),

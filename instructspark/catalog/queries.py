@@ -43,6 +43,7 @@ from instructspark.plans import chains
 from instructspark.plans.distil import answers_from_responses, polish_from_responses
 from instructspark.plans.improve import improve, improved_from_responses
 from instructspark.plans.prepare import prepare, prepare_distilled
+from instructspark.plans.scoring import score_completions
 from instructspark.plans.prepare import publish_observed as publish_checked
 from instructspark.plans.resumable import generate_pending
 from instructspark.session import materialize, new_path
@@ -604,6 +605,20 @@ def semantic_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _letter_counts() -> Callable[[list], list[list[float]]]:
+    """An encoder SQL can follow: counts of a, e and spaces, and the length."""
+    return lambda texts: [[t.count("a"), t.count("e"), t.count(" "), len(t)] for t in texts]
+
+
+def embed_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Semantic rewards with embeddings made by an encoder: references once, completions after the join."""
+    completions = _paired(spark, sf_dir).select("prompt_id", "completion_id", "completion")
+    references = given.references(spark, sf_dir).drop("reference_embedding")
+    semantic = [r for r in DEFAULT_REWARDS if r.name == "semantic"]
+    scored = score_completions(completions, references, _letter_counts, semantic)
+    return scored.select("prompt_id", "completion_id", F.round("semantic", 6).alias("semantic"))
+
+
 def weighted_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [*[r.name for r in DEFAULT_REWARDS], "total"]
     rounded = [F.round(name, 6).alias(name) for name in names]
@@ -754,6 +769,7 @@ QUERIES: dict[str, Query] = {
     "length_reward": length_rewards,
     "accuracy_reward": accuracy_rewards,
     "semantic_reward": semantic_rewards,
+    "embed_rewards": embed_rewards,
     "weighted_reward": weighted_reward,
     "group_advantage": group_advantage,
     "own_reward_scaled": own_reward_scaled,

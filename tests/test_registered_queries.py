@@ -31,7 +31,7 @@ UNWANTED = [
 # Queries that run a Python generator, or a user's reward function over Arrow batches.
 GENERATING = {
     "generate_batches", "improve_generated", "resume_changed_text", "standard_chain",
-    "generate_budgeted", "generate_with_failures", "distilled_chain", "group_reward",
+    "generate_budgeted", "generate_with_failures", "distilled_chain", "group_reward", "embed_rewards",
 }
 
 
