@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from instructspark.llm.common import crc_remainder, read_table
 from instructspark.llm.context_tree import score_running_texts
-from instructspark.llm.decontaminate import decontaminate, is_contaminated
+from instructspark.llm.decontaminate import WINDOW, decontaminate, is_contaminated
 from instructspark.llm.imatch import build_lexicon, compare_edited
 from instructspark.llm.line_frequency import MIN_PAGES, RATIO, drop_boilerplate
 from instructspark.llm.mixing import mix
@@ -271,3 +271,44 @@ def _kmeans_sql() -> str:
 
 
 ORACLES["op12_simplex_kmeans"] = _kmeans_sql()
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words_sql(text: str) -> str:
+    return (
+        f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+
+
+ORACLES["op4_decontamination"] = f"""
+    WITH items AS (
+        SELECT item_id, {_words_sql('text')} AS w FROM benchmark
+    ), windows AS (
+        SELECT DISTINCT item_id, list_slice(w, i, i + least({WINDOW}, len(w)) - 1) AS win
+        FROM items, range(1, greatest(len(w) - least({WINDOW}, len(w)) + 1, 0) + 1) AS r(i)
+        WHERE len(w) > 0
+    ), lengths AS (
+        SELECT DISTINCT len(win) AS size FROM windows
+    ), docs AS (
+        SELECT doc_id, {_words_sql('text')} AS w, row_number() OVER () AS nr FROM documents
+    ), spans AS (
+        SELECT d.nr, p AS pos, l.size, list_slice(d.w, p, p + l.size - 1) AS seq
+        FROM docs d, lengths l, range(1, greatest(len(d.w) - l.size + 1, 0) + 1) AS r(p)
+    ), met AS (
+        SELECT s.nr, s.pos, s.size, x.item_id FROM spans s JOIN windows x ON x.win = s.seq
+    ), hit AS (
+        SELECT nr, count(DISTINCT pos + k) AS n_hit
+        FROM met, range(0, size) AS q(k) GROUP BY nr
+    ), named AS (
+        SELECT nr, count(*) AS n_items,
+               sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+        FROM (SELECT DISTINCT nr, item_id::VARCHAR AS id FROM met WHERE item_id IS NOT NULL) GROUP BY nr
+    )
+    SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n.n_items, 0)::BIGINT AS n_items, coalesce(n.items_sha256, sha256('')) AS items_sha256,
+           coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+    FROM docs d LEFT JOIN hit h USING (nr) LEFT JOIN named n USING (nr)
+"""
