@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import store
+from instructspark.llm.common import drop, store
 from instructspark.session import new_path, remove_path, shared_folder, shared_names
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import drop_boilerplate
@@ -69,6 +69,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     keyed = numbered.select(order.alias("_order"), "text")
     found = near_duplicates(keyed, key="_order", shingle=5, percent=80)
     kept = store(found.where(F.col("kept")).select(F.col("_order.row").alias("_row")), "kept")
+    drop(found)
     return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 

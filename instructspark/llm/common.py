@@ -37,6 +37,8 @@ def drop(*tables: DataFrame | None) -> None:
         path = getattr(table, "_stored_path", None)
         if path:
             remove_path(table.sparkSession, path)
+        # A result built on stored tables names them; they go with it.
+        drop(*getattr(table, "_stored_inputs", ()))
 
 
 # Whole texts can be long: a Python worker gets this many rows at a time at most.

@@ -430,9 +430,12 @@ def near_duplicates(
     rows = sketched.select("key", "n", "set_id")
     joined = lookup_join(rows, named, "set_id", "key", "left", min_rows=1000)
     component = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id"))
-    return joined.select(
+    result = joined.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         component.eqNullSafe(F.col("key")).alias("kept"),
     )
+    # The two tables it reads, for ``drop`` once the caller has written what it needs.
+    result._stored_inputs = (sketched, named)
+    return result
