@@ -32,7 +32,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         left = store(left.where(F.col("a") != F.col("b")).distinct(), "edges")
         drop(earlier)
     if not moves:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
     def follow(known: DataFrame, move: DataFrame) -> DataFrame:
         later = move.select(F.col("node").alias("root"), "to")

@@ -6,22 +6,24 @@ from the least of an exponentially distributed number per shingle: registers are
 greater register.  Two sets agree in a register about as often as they are similar.
 
 Equal sets are one node.  Registers form bands; nodes that agree in a band are compared:
-first with one node of the band's bucket (the same node in all buckets of a family),
-for a few rounds while the bucket's components keep merging, then all components of
-every bucket that still holds two of them.  Pairs pass a joint
-likelihood estimate of their similarity, then are verified on full sets.  What is left
-of large buckets is compared tile by tile inside tasks, which give out links only.
+first with a hub, one node of the band's bucket (the same node in all buckets of a
+family), and with further hubs while a hub's star keeps linking, then all components of
+every bucket that still holds two of them.  Stars name nodes and hubs but no bands, so a
+node has few rows in them, however many buckets it shares with its family.  Pairs pass a
+joint likelihood estimate of their similarity, then are verified on full sets.  What is
+left of large buckets is compared tile by tile inside tasks, which give out links only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from instructspark.llm.common import bound_batches, drop, store, words_of
@@ -35,7 +37,7 @@ BASE = 1.001
 RATE = 20.0
 TOP = (1 << 16) - 1
 
-# Buckets are searched by one node each in this many rounds before all pairs are compared.
+# Buckets are searched by one hub each in this many rounds before all pairs are compared.
 STAR_ROUNDS = 3
 
 # What is left of a bucket is compared by pairs up to this size, by tiles beyond.
@@ -186,8 +188,8 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, options: Options) -> DataFram
     return close.select("a", "b")
 
 
-def _with_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, options: Options) -> DataFrame:
-    """``node, shingles``: full sets of the wanted nodes, computed again from their texts."""
+def _with_sets(nodes: DataFrame, docs: DataFrame, options: Options) -> DataFrame:
+    """``node, shingles``: full sets of the nodes, computed again from their texts."""
 
     @F.pandas_udf("set_id binary, shingles binary")
     def again(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -196,14 +198,12 @@ def _with_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, options: Op
             ids = [xxhash.xxh3_128_digest(s) for s in sets]
             yield pd.DataFrame({"set_id": ids, "shingles": sets})
 
-    chosen = store(nodes.join(wanted, "node").select("node", "set_id", F.col("rep").alias("key")), "wanted")
-    ids = chosen.select("key").distinct()
     # A key may have several texts: the set itself tells which of them is meant.
-    named = ids.withColumnRenamed("key", "_id")
-    if chosen.count() <= MOST_BROADCAST_IDS:
+    named = nodes.select(F.col("rep").alias("_id")).distinct()
+    if nodes.count() <= MOST_BROADCAST_IDS:
         named = F.broadcast(named)
     found = docs.join(named, F.col("key").eqNullSafe(F.col("_id")), "left_semi").withColumn("_s", again("text"))
-    sets = found.select("_s.set_id", "_s.shingles").join(chosen.select("node", "set_id"), "set_id")
+    sets = found.select("_s.set_id", "_s.shingles").join(nodes.select("node", "set_id"), "set_id")
     return store(sets.select("node", "shingles").dropDuplicates(["node"]), "sets")
 
 
@@ -220,8 +220,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, options: Options) -> DataFrame:
             out.append(100 * shared >= percent * (len(a) + len(b) - shared))
         return pd.Series(out, dtype=bool)
 
+    # Only the sets of nodes that are in a pair are dealt out.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = sets.join(wanted, "node", "left_semi")
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}")), side)
+        pairs = pairs.join(own.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     return pairs.where(similar("s_a", "s_b")).select("a", "b")
 
 
@@ -237,25 +240,39 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _star_pairs(members: DataFrame, number: int) -> DataFrame:
-    """One node of each mixed bucket against the members of other components.
+def _rooted(rows: DataFrame, components: DataFrame | None, node: str, root: str) -> DataFrame:
+    """The rows with the root of the node in one column; a node without links is its own."""
+    if components is None:
+        return rows.withColumn(root, F.col(node))
+    known = components.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(known, node, "left").withColumn(root, F.coalesce(root, node))
 
-    The hub is the member with the least draw, and the draw depends on the node
-    alone: a family of nodes that share many buckets has the same hub in all of them,
-    so each member meets few hubs, not one per band.
+
+def _members(nodes: DataFrame, rounds: int) -> DataFrame:
+    """``band, node`` of all buckets with two nodes or more, and a hub per round.
+
+    The hub is the member with the least draw, and the draw depends on the node and the
+    round alone: a family of nodes that share many buckets has the same hub in all of
+    them, so each member meets few hubs, not one per band.
     """
-    draw = F.xxhash64(F.lit(number), "node")
-    hub = members.groupBy("band").agg(F.min(draw).alias("draw"))
-    # The draw names the node again; equal draws of two nodes only add a pair.
-    hubs = members.withColumn("draw", draw).join(hub, ["band", "draw"]).select(
-        "band", F.col("node").alias("hub"), F.col("root").alias("hub_root")
-    )
-    met = members.join(hubs, "band").where(F.col("root") != F.col("hub_root"))
-    return met.select(*_ordered(F.col("node"), F.col("hub"))).distinct()
+    bucket = Window.partitionBy("band")
+    bands = nodes.select("node", F.explode(_band_keys()).alias("band"))
+    shared = bands.withColumn("members", F.count("*").over(bucket)).where(F.col("members") > 1)
+    hubs = [F.min_by("node", F.xxhash64(F.lit(i), "node")).over(bucket).alias(f"hub_{i}") for i in range(rounds)]
+    return shared.select("band", "node", *hubs)
 
 
-def _roots_per_band(mixed: DataFrame) -> DataFrame:
-    return mixed.groupBy("band", "root").agg(F.lit(1).alias("_")).groupBy("band").agg(F.count("*").alias("roots"))
+def _star_pairs(stars: DataFrame, hub: str, components: DataFrame | None) -> DataFrame:
+    """The hubs of one round and the nodes of other components that share a bucket with them."""
+    met = stars.select("node", F.col(hub).alias("hub")).where(F.col("node") != F.col("hub")).distinct()
+    known = _rooted(_rooted(met, components, "node", "root"), components, "hub", "hub_root")
+    return known.where(F.col("root") != F.col("hub_root")).select(*_ordered(F.col("node"), F.col("hub"))).distinct()
+
+
+def _linking_stars(stars: DataFrame, hub: str, found: DataFrame) -> DataFrame:
+    """The stars whose hub was linked in its round; the others wait for all pairs."""
+    linked = found.select(F.explode(F.array("a", "b")).alias(hub)).distinct()
+    return stars.join(linked, hub, "left_semi")
 
 
 def _all_pairs(members: DataFrame, nodes: DataFrame, options: Options) -> DataFrame:
@@ -337,12 +354,16 @@ def _tile_links(rows: DataFrame, sets: DataFrame, options: Options) -> DataFrame
     return both.groupBy("band", "left", "right").applyInPandas(compare, "a long, b long").distinct()
 
 
-def _mixed(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with their root."""
-    known = members.drop("root").join(components, "node", "left")
-    rooted = known.withColumn("root", F.coalesce("root", "node"))
-    spans = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return rooted.join(spans.where(F.col("low") < F.col("high")).select("band"), "band")
+def _mixed(members: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Members of the buckets that hold more than one component, with root and bucket size."""
+    bucket = Window.partitionBy("band")
+    known = _rooted(members.select("band", "node"), components, "node", "root").select(
+        "band", "node", "root",
+        F.min("root").over(bucket).alias("low"),
+        F.max("root").over(bucket).alias("high"),
+        F.count("*").over(bucket).alias("size"),
+    )
+    return known.where(F.col("low") < F.col("high")).drop("low", "high")
 
 
 def near_duplicates(
@@ -376,58 +397,57 @@ def near_duplicates(
         .agg(F.min("key").alias("rep"), F.any_value("n").alias("n"), F.any_value("registers").alias("registers"))
     )
     nodes = store(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    bands = nodes.select("node", F.explode(_band_keys()).alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("members")).where(F.col("members") > 1)
-    members = store(bands.join(shared.select("band"), "band").withColumn("root", F.col("node")), "members")
-    sets = _with_sets(members.select("node").distinct(), nodes, docs, options)
-    links = None
-    mixed = members
-    full = members  # all buckets that hold more than one component
-    set_aside = False
-    components = connected_components(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-    number = 0
-    sized = None
-    while True:
-        final = number >= star_rounds or mixed.isEmpty()
-        if final:
-            # Every bucket with two components, also those whose star round found nothing.
-            mixed = full if set_aside else mixed
-            if mixed.isEmpty():
-                break
-            sizes = mixed.groupBy("band").agg(F.count("*").alias("size"))
-            sized = store(mixed.join(sizes, "band"), "sized")
-            large = F.col("size") > small_bucket
-            tiled = store(_tile_links(sized.where(large).drop("size"), sets, options), "links")
-            links = tiled if links is None else links.unionByName(tiled)
-            mixed = sized.where(~large).drop("size")
-        pairs = _all_pairs(mixed, nodes, options) if final else _star_pairs(mixed, number)
-        close = store(_estimated(pairs, nodes, options), "pairs")
+    # Registers are kept of the nodes that share a bucket only.
+    rows = store(sketched.select("key", "n", "set_id"), "rows")
+    drop(sketched)
+    members = store(_members(nodes, star_rounds), "members")
+    asked = store(nodes.join(members.select("node").distinct(), "node", "left_semi"), "asked")
+    names = store(nodes.select("node", "set_id", "rep"), "names")
+    drop(nodes)
+    sets = _with_sets(asked, docs, options)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        close = store(_estimated(pairs, asked, options), "pairs")
         found = store(_verified(close, sets, options), "links")
         drop(close)
-        links = found if links is None else links.unionByName(found)
-        earlier = components
-        components = connected_components(links)
-        drop(earlier)
-        if final:
-            drop(sized)
+        return found
+
+    links: list[DataFrame] = []
+    components = None
+
+    def merged() -> DataFrame:
+        """Components of all links found so far."""
+        found = connected_components(reduce(DataFrame.unionByName, links))
+        drop(components)
+        return found
+
+    hubs = [f"hub_{i}" for i in range(star_rounds)]
+    stars = store(members.select("node", *hubs).distinct(), "stars") if hubs else None
+    for number, hub in enumerate(hubs):
+        found = linked(_star_pairs(stars, hub, components))
+        if found.isEmpty():
+            drop(found)
             break
-        # Buckets whose components did not merge in this round wait for the final one.
-        before = _roots_per_band(mixed)
-        old_full, old_mixed = full, mixed
-        full = store(_mixed(members, components), "mixed")
-        after = _roots_per_band(full).withColumnRenamed("roots", "left")
-        moved = before.join(after, "band").where(F.col("left") < F.col("roots")).select("band")
-        mixed = store(full.join(moved, "band", "left_semi"), "mixed")
-        drop(*[t for t in (old_full, old_mixed) if t is not members])
-        set_aside = True
-        number += 1
-    rooted = nodes.select("node", "set_id", "rep").join(components, "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+        links.append(found)
+        components = merged()
+        if number + 1 < len(hubs):
+            earlier = stars
+            stars = store(_linking_stars(stars, hub, found), "stars")
+            drop(earlier)
+    drop(stars)
+    # Every bucket with two components, also those whose stars linked nothing.
+    mixed = store(_mixed(members, components), "mixed")
+    if not mixed.isEmpty():
+        large = F.col("size") > small_bucket
+        links.append(store(_tile_links(mixed.where(large).drop("size"), sets, options), "links"))
+        links.append(linked(_all_pairs(mixed.where(~large).drop("size"), asked, options)))
+        components = merged()
+    drop(mixed, members, asked, sets, *links)
+    rooted = _rooted(names, components, "node", "root")
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = store(rooted.join(least, "root").select("set_id", "component_id"), "named")
-    # What the result reads is sketches and names; the rest of the search can go.
-    drop(nodes, members, sets, components, *([full] if full is not members else []), *([mixed] if mixed is not members else []))
-    rows = sketched.select("key", "n", "set_id")
+    # What the result reads is rows and names; the rest of the search can go.
+    drop(names, components)
     joined = lookup_join(rows, named, "set_id", "key", "left", min_rows=1000)
     component = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id"))
     result = joined.select(
@@ -437,5 +457,5 @@ def near_duplicates(
         component.eqNullSafe(F.col("key")).alias("kept"),
     )
     # The two tables it reads, for ``drop`` once the caller has written what it needs.
-    result._stored_inputs = (sketched, named)
+    result._stored_inputs = (rows, named)
     return result

@@ -69,6 +69,28 @@ def test_near_duplicates_agree_with_all_pairs(spark, rounds, small):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_a_family_has_few_rows_in_the_star_rounds(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(w if j != i else f"x{i}" for j, w in enumerate(base))) for i in range(150)]
+    rows += [(1000 + i, " ".join(rng.choices(base, k=12))) for i in range(50)]
+    stored = {}
+
+    def noted(df, name, write=setsketch.store):
+        table = write(df, name)
+        stored.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(setsketch, "store", noted)
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == plain_groups(rows, 2, 80)
+    (members,) = stored["members"]
+    # The family shares nearly all buckets, yet a round holds a node once or a few times.
+    assert members > 30 * 150 and max(stored["stars"]) < members / 4
+    # Bucket rows are written again once, for the final comparison, not in every round.
+    assert len(stored["mixed"]) == 1
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert setsketch.near_duplicates(df).count() == 0
