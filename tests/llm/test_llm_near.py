@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from instructspark.llm import imatch, setsketch
+from instructspark.llm.common import store
 from instructspark.llm.components import connected_components
 from instructspark.llm.token_edits import Counter, TokenTree, apply_edits, token_trees
 
@@ -91,6 +94,25 @@ def test_a_family_has_few_rows_in_the_star_rounds(spark, monkeypatch):
     assert len(stored["mixed"]) == 1
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        jvm = spark.sparkContext._jvm
+        folders = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    asked = spark.conf.get(setting)
+    rows = spark.range(4000, numPartitions=4).select((F.col("id") % 50).alias("k"))
+    table = store(rows.groupBy("k").count().orderBy("k"), "counts")
+    assert table.count() == 50 and spark.conf.get(setting) == asked
+    for _ in range(50):  # executors delete them in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not [f for f in shuffled() - before if f.stat().st_size > 1000]
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert setsketch.near_duplicates(df).count() == 0
