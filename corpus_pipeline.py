@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import drop, store
+from instructspark.llm.common import drop, pick_rows, place_by_number, place_in_file, store
 from instructspark.session import new_path, remove_path, shared_folder, shared_names
 from instructspark.llm.decontaminate import decontaminate, is_contaminated
 from instructspark.llm.line_frequency import drop_boilerplate
@@ -50,10 +50,9 @@ def _numbered(docs: DataFrame) -> DataFrame:
     other table is numbered and written once.
     """
     try:
-        place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
-        return docs.select(*COLUMNS, place.alias("_row"))
+        return docs.select(*COLUMNS, place_in_file().alias("_row"))
     except AnalysisException:
-        return store(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        return store(docs.select(*COLUMNS).withColumn("_row", place_by_number()), "numbered")
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,15 +61,17 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     Every row is its own document: the near-duplicate search keys on (doc_id is NULL,
     doc_id, row identity).  The row that stays is the one of least doc_id (rows with a
     doc_id before rows without; among equal ids the first by identity); the others go,
-    by row, so that a clean text under a repeated doc_id stays.
+    by row, so that a clean text under a repeated doc_id stays.  Texts are read again where
+    they lie, not dealt out.
     """
     numbered = _numbered(docs)
     order = F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
     keyed = numbered.select(order.alias("_order"), "text")
     found = near_duplicates(keyed, key="_order", shingle=5, percent=80)
-    kept = store(found.where(F.col("kept")).select(F.col("_order.row").alias("_row")), "kept")
+    kept = found.where(F.col("kept")).select(F.col("_order.row").alias("_row"), F.lit(1).alias("times"))
+    kept = store(kept, "kept")
     drop(found)
-    return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
+    return pick_rows(numbered, kept, "_row", "times").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the number of copies to take."""
-    return mixed_documents(docs).select(*COLUMNS, "copies", "taken")
+    return mixed_documents(_numbered(docs), row="_row").select(*COLUMNS, "copies", "taken")
 
 
 STAGES = [

@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from instructspark.llm.common import replacing, store
+from instructspark.llm.common import drop, pick_rows, replacing, store
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -197,12 +197,26 @@ def numbered_mix(
 ) -> DataFrame:
     """The mix with ``rows``, how many rows have a document's key, source and size, and the
     document's ``number`` among them, from 1."""
-    if group < 2:
-        raise ValueError("a group must have two documents at least")
     rows = df.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"),
         word_count(F.col(f"`{text}`")).alias("size"),
     )
+    return _mix_sizes(rows, key, source, weights, total_share, most_repeats, group, seed)
+
+
+def _mix_sizes(
+    rows: DataFrame,
+    key: str,
+    source: str,
+    weights: Sequence[float] = WEIGHTS,
+    total_share: float = TOTAL_SHARE,
+    most_repeats: int = MOST_REPEATS,
+    group: int = GROUP,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix of rows ``key, source, size``, as ``numbered_mix`` gives it."""
+    if group < 2:
+        raise ValueError("a group must have two documents at least")
     equal = store(
         rows.groupBy("key", "source", "size")
         .agg(F.count("*").alias("rows"))
@@ -274,21 +288,48 @@ def numbered_mix(
 
 
 def mixed_documents(
-    df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options
+    df: DataFrame,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    row: str | None = None,
+    **options,
 ) -> DataFrame:
     """The documents with ``copies`` and ``taken``; those that the mix does not take stay out.
 
     Documents meet their copies by key, source and size.  Rows that are equal in these
-    are numbered first, in a window over such rows alone.
+    are numbered first, in a window over such rows alone.  ``row`` names a column with a
+    place ``f, i``, unique and the same whenever the table is read, which the result
+    leaves out: then the rows' keys, sizes and text hashes alone are dealt out, and texts
+    are picked where they lie.
     """
-    mixed = store(numbered_mix(df, key, source, text, **options), "mix")
+    given = replacing(df, ["copies", "taken", row] if row else ["copies", "taken"])
+    columns = [F.col(f"`{c}`") for c in given.columns]
+    size, order = word_count(F.col(f"`{text}`")), F.xxhash64(F.col(f"`{text}`"))
+    if row is None:
+        sized = given.withColumns({"_size": size, "_order": order})
+        taken = store(numbered_mix(df, key, source, text, **options), "mix")
+        chosen = _chosen(sized, taken, key, source)
+        return chosen.select(*columns, "copies", (F.col("copies") * F.col("_size")).alias("taken"))
+    narrow = df.select(
+        F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"),
+        F.col(f"`{row}`").alias("_row"), size.alias("_size"), order.alias("_order"),
+    )
+    narrow = store(narrow, "narrow")
+    taken = store(_mix_sizes(narrow.withColumnRenamed("_size", "size"), "key", "source", **options), "mix")
+    picked = store(_chosen(narrow, taken, "key", "source").select("_row", "copies"), "picked")
+    drop(narrow, taken)
+    found = pick_rows(df.select(*columns, F.col(f"`{row}`").alias("_row")), picked, "_row", "copies")
+    return found.select(*columns, "copies", (F.col("copies") * size).alias("taken"))
+
+
+def _chosen(sized: DataFrame, mixed: DataFrame, key: str, source: str) -> DataFrame:
+    """The rows that the mix takes, with ``copies``; equal ones in the order of ``_order``."""
     taken = mixed.select(
         F.col(key).alias("_k"), F.col(source).alias("_s"), F.col("size").alias("_z"),
-        F.col("rows").alias("_rows"), F.col("number").alias("_n"), "copies", "taken",
+        F.col("rows").alias("_rows"), F.col("number").alias("_n"), "copies",
     )
-    given = replacing(df, ["copies", "taken"])
-    columns = [F.col(f"`{c}`") for c in given.columns]
-    sized = given.withColumn("_size", word_count(F.col(f"`{text}`")))
+    columns = [F.col(f"`{c}`") for c in sized.columns]
     same = (
         F.col(f"`{key}`").eqNullSafe(F.col("_k"))
         & F.col(f"`{source}`").eqNullSafe(F.col("_s"))
@@ -297,10 +338,9 @@ def mixed_documents(
     alone = sized.join(taken.where((F.col("_rows") == 1) & (F.col("copies") > 0)), same)
     repeated = taken.where(F.col("_rows") > 1)
     ids = repeated.where(F.col("_n") == 1).select("_k", "_s", "_z")
-    numbers = Window.partitionBy(key, source, "_size").orderBy(F.xxhash64(F.col(f"`{text}`")))
+    numbers = Window.partitionBy(key, source, "_size").orderBy("_order")
     numbered = sized.join(ids, same, "left_semi").withColumn("_number", F.row_number().over(numbers))
     several = numbered.join(
         repeated.where(F.col("copies") > 0), same & (F.col("_number") == F.col("_n"))
     )
-    chosen = [*columns, "copies", "taken"]
-    return alone.select(*chosen).unionByName(several.select(*chosen))
+    return alone.select(*columns, "copies").unionByName(several.select(*columns, "copies"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from instructspark.llm.common import pick_rows, place_in_file
 from instructspark.llm.mixing import WEIGHTS, mix, mixed_documents
 
 
@@ -111,3 +113,34 @@ def test_mixed_documents_and_native_plan(spark, rows):
     assert mixed.columns == ["doc_id", "source", "text", "copies", "taken"]
     assert mixed.where("copies < 1").count() == 0
     assert "Python" not in mix(df)._jdf.queryExecution().toString()
+
+
+def test_placed_documents_are_mixed_as_others_without_dealing_out_texts(spark, rows, tmp_path):
+    path = str(tmp_path / "docs")
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, copies string")
+    df.repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = docs.select("*", place_in_file().alias("_row"))
+        mixed = mixed_documents(placed, row="_row")
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert mixed.columns == ["doc_id", "source", "text", "copies", "taken"]
+        want = Counter(map(tuple, mixed_documents(docs).select(*mixed.columns).collect()))
+        assert Counter(map(tuple, mixed.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("most", [8192, 0])
+def test_rows_are_picked_by_place(spark, tmp_path, most):
+    path = str(tmp_path / "numbers")
+    spark.range(0, 90_000, 1, 2).write.parquet(path)
+    numbers = spark.read.parquet(path).select("id", place_in_file().alias("_row"))
+    times = numbers.withColumn("times", (F.col("id") % 7).cast("int"))
+    picked = times.where("times > 0").select("_row", "times")
+    got = pick_rows(numbers, picked, "_row", "times", most).select("id", "times").collect()
+    assert sorted(map(tuple, got)) == [(i, i % 7) for i in range(90_000) if i % 7]
+    assert pick_rows(numbers, picked.where("false"), "_row", "times", most).count() == 0

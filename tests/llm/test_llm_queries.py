@@ -92,3 +92,17 @@ def test_near_duplicate_stage_removes_rows_not_ids(spark):
     got = sorted(((r.doc_id is None, r.doc_id, r.text) for r in kept), key=repr)
     want = sorted([(False, 2, a), (False, 5, b), (False, 7, c + " end"), (False, 8, None), (False, 8, None), (False, 9, "")], key=repr)
     assert got == want
+
+
+def test_near_duplicate_stage_leaves_texts_where_they_lie(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = [(i, f"{i} " + " ".join(f"w{i % 40}x{k}" for k in range(60)), "en", "a", 9) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.keep_one_of_near_duplicates(spark, spark.read.parquet(path), SF_DIR)
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, kept.collect())) == rows[:40]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
