@@ -29,9 +29,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -425,6 +428,8 @@ SLOT_BITS = 21
 PROBES = 32
 # Coded bytes that are sorted or looked up at a time, and contexts held in a counting task.
 CHUNK_BYTES = 1 << 21
+# Words that are held in a task until they are counted, about 10 bytes each.
+MOST_SPLIT = 4_000_000
 MOST_HELD = 3_000_000
 
 
@@ -555,26 +560,36 @@ class Slots:
         return found, np.sort(np.concatenate([*absent, left]))
 
 
+def split_words(texts: pa.Array) -> pa.Array:
+    """All words of the texts, one after the other, as ``words_of`` has them."""
+    words = pc.list_flatten(pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()))))
+    return words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary())
+
+
 def running_words(rows: DataFrame) -> DataFrame:
     """``word, n, c``: occurrences of each word over all rows and over training rows."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, list[pa.Array]] = {True: [], False: []}
 
-        def handed() -> Iterator[pd.DataFrame]:
-            for trained, counter in seen.items():
-                n = np.fromiter(counter.values(), np.int64, len(counter))
-                yield pd.DataFrame({"word": list(counter), "n": n, "c": n * trained})
-                counter.clear()
+        def handed() -> Iterator[pa.RecordBatch]:
+            for trained, parts in held.items():
+                found = pc.value_counts(pa.chunked_array(parts, pa.binary()))
+                parts.clear()
+                for start in range(0, len(found), 100_000):
+                    word, n = found.slice(start, 100_000).flatten()
+                    c = n if trained else pa.array(np.zeros(len(n), np.int64))
+                    yield pa.RecordBatch.from_arrays([word, n, c], ["word", "n", "c"])
 
         for batch in batches:
-            for value, trained in zip(batch["text"], batch["train"], strict=True):
-                seen[bool(trained)].update(words_of(value))
-                if sum(map(len, seen.values())) >= FLUSH:
-                    yield from handed()
+            train = batch.column("train").fill_null(False)
+            for trained, chosen in ((True, train), (False, pc.invert(train))):
+                held[trained].append(split_words(batch.column("text").filter(chosen)))
+            if sum(len(x) for parts in held.values() for x in parts) >= MOST_SPLIT:
+                yield from handed()
         yield from handed()
 
-    counted = rows.select("text", "train").mapInPandas(count, "word binary, n long, c long")
+    counted = rows.select("text", "train").mapInArrow(count, "word binary, n long, c long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
 
 
@@ -617,30 +632,38 @@ def score_running_texts(
     all_tokens, distinct = (sums[0] or 0) + texts, sums[1] + (1 if texts else 0)
     floor = all_tokens + 0.5 * (distinct + 1)
     often = totals.where(F.col("n") >= count_threshold(totals, "n", most_words)).select("word", "c").toPandas()
-    words = {bytes(w): (c > 0, math.log10((c + 0.5) / floor)) for w, c in often.itertuples(index=False)}
+    # The last place stands for all other words.
+    c = np.append(often["c"].to_numpy(np.float64), -0.5)
+    counts = c > 0, np.log10(np.where(c < 0, 1.0, (c + 0.5) / floor))
+    words = pa.array([bytes(w) for w in often["word"]], pa.binary())
     del often
     base_end = math.log10((texts + 0.5) / floor)
 
     lengths = store(byte_code_lengths(store(running_contexts(rows), "contexts")), "lengths")
     known = _packed(lengths.where(F.col("n") >= count_threshold(lengths, "n", most_contexts)))
-    shared = spark.broadcast((words, *known))
+    shared = spark.broadcast((words, counts, *known))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, keys, values, size = shared.value
+        words, (in_training, logs), keys, values, size = shared.value
         # Of keys that want one slot, the most frequent is the last.
         order = np.argsort(size, kind="stable")
         slots = Slots(keys[order], values[order], SLOT_BITS)
 
-        def base(own: list[bytes]) -> tuple:
-            n_known, total, rare = int(texts > 0), base_end, []
-            for word, n in Counter(own).items():
-                found = words.get(word)
-                if found is None:
-                    rare.append({"word": word, "times": n})
-                else:
-                    n_known += n * found[0]
-                    total += n * found[1]
-            return len(own) + 1, n_known, total, rare
+        def base(every: list[list[bytes]]) -> dict:
+            n = np.fromiter(map(len, every), np.int64, len(every))
+            owner = np.repeat(np.arange(len(every)), n)
+            flat = list(chain.from_iterable(every))
+            at = pc.index_in(pa.array(flat, pa.binary()), words)
+            at = at.fill_null(-1).to_numpy(zero_copy_only=False)
+            others: list[list[bytes]] = [[] for _ in every]
+            for i in np.flatnonzero(at < 0).tolist():
+                others[owner[i]].append(flat[i])
+            return {
+                "n_tokens": n + 1,
+                "known": int(texts > 0) + np.bincount(owner, in_training[at], len(every)).astype(np.int64),
+                "base": base_end + np.bincount(owner, logs[at], len(every)),
+                "rare": [[{"word": w, "times": k} for w, k in Counter(x).items()] for x in others],
+            }
 
         for batch in batches:
             every = [words_of(value) for value in batch["text"]]
@@ -649,9 +672,7 @@ def score_running_texts(
                 found, left = slots.find(keys)
                 starts = np.cumsum(sizes) - sizes
                 rest = np.split(keys[left].view(np.int64), np.searchsorted(left, starts[1:]))
-                done = pd.DataFrame(
-                    [base(own) for own in every[start:stop]], columns=["n_tokens", "known", "base", "rare"]
-                )
+                done = pd.DataFrame(base(every[start:stop]))
                 done.insert(0, "row", batch["row"].to_numpy()[start:stop])
                 done.insert(1, "key", batch["key"].to_numpy()[start:stop])
                 done["n_bytes"], done["part"], done["rest"] = sizes, np.add.reduceat(found, starts), rest

@@ -7,11 +7,12 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from instructspark.llm import context_tree, quality_crf, toxicity
-from instructspark.llm.common import bound_batches, count_threshold, crc_remainder, labelled_sample
+from instructspark.llm.common import bound_batches, count_threshold, crc_remainder, labelled_sample, words_of
 
 WORDS = ["alpha", "beta", "gamma", "delta", "épsilon", "zeta", "eta", "theta", "iota", "kappa"]
 BAD = ["grobian", "schurke", "vilain"]
@@ -347,3 +348,10 @@ def test_small_helpers(spark):
     bound_batches(spark, 100)
     bound_batches(spark, 300)
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "100"
+
+
+def test_words_are_split_by_columns_as_one_by_one():
+    texts = ["", None, "  A b\tB\x0b c\x0c\x1cd\n", "É é  x É", "one"] * 3
+    want = [w for t in texts for w in words_of(t)]
+    assert context_tree.split_words(pa.array(texts)).to_pylist() == want
+    assert context_tree.split_words(pa.array([None], pa.string())).to_pylist() == []
